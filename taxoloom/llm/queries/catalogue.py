@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-MODULES = ()
+from taxoloom.llm.queries import corpus, linkage
+
+MODULES = (linkage, corpus)
 
 
 def queries() -> dict:
