@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taxoloom.llm import groups, lookalike, survivor
+from taxoloom.llm import entries, groups, lookalike, survivor
 from taxoloom.session import Scratch, load
 
 FIELDS = ("primary_label_en", "hard_soft", "it_subtype", "sources")
@@ -100,3 +100,19 @@ SQL = {
     "p3_golden": f"""with recursive {_GROUPS}, {_WON} select group_id, max(value) filter (field_name = 'primary_label_en') as primary_label_en, max(value) filter (field_name = 'hard_soft') as hard_soft,
       max(value) filter (field_name = 'it_subtype') as it_subtype, max(value) filter (field_name = 'sources') as sources from ranked where n = 1 group by 1""",
 }
+
+
+def _titles(spark: SparkSession, d: str) -> DataFrame:
+    return entries.match(load(spark, d, "hellowork").select("url", "title"), "title", load(spark, d, "role_titles"), "title_id", "title_fr", "title_en")
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return _titles(spark, d).where("url is not null and title_id is not null").select("url", "title_id").distinct()
+
+
+def p5_unmatched(spark: SparkSession, d: str) -> DataFrame:
+    """Values that name no entry, with their number of postings."""
+    return _titles(spark, d).where("title_id is null").groupBy(F.trim(F.coalesce("title", F.lit(""))).alias("title")).agg(F.countDistinct("url").alias("postings"))
+
+
+QUERIES |= {f.__name__: f for f in (p5_found, p5_unmatched)}
