@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taxoloom.llm import entries, groups, lookalike, survivor
+from taxoloom.llm import entities, entries, groups, lookalike, survivor
 from taxoloom.session import Scratch, load
 
 FIELDS = ("primary_label_en", "hard_soft", "it_subtype", "sources")
@@ -116,3 +116,29 @@ def p5_unmatched(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES |= {f.__name__: f for f in (p5_found, p5_unmatched)}
+
+
+def _same_things(spark: SparkSession, d: str) -> DataFrame:
+    occupations = load(spark, d, "occupations").where("coalesce(occupation_type, '') <> 'isco_group'")
+    skills = load(spark, d, "skills").where("coalesce(source, '') <> 'TAXONOMY'")
+    found = None
+    for kind, rows, code in (("occupation", occupations, F.col("isco_code")), ("skill", skills, F.lit(None).cast("string"))):
+        records = rows.select(
+            F.col("entity_id").alias("id"), "source", F.col("pref_label_en").alias("label"), F.col("description_en").alias("described"),
+            F.concat_ws(" | ", "description_en", "alt_labels_en").alias("other"), code.alias("code"),
+        )
+        part = entities.matched_pairs(entities.link(records)).select(F.lit(kind).alias("entity_kind"), "entity_id_a", "entity_id_b", "confidence")
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return _same_things(spark, d).select("entity_kind", "entity_id_a", "entity_id_b").distinct()
+
+
+def p7_confidence(spark: SparkSession, d: str) -> DataFrame:
+    """Matched pairs with their confidence."""
+    return _same_things(spark, d)
+
+
+QUERIES |= {f.__name__: f for f in (p7_found, p7_confidence)}
