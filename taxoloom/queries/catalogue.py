@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from taxoloom.queries import records
+from taxoloom.queries import links, records, texts
 
-MODULES = (records,)
+MODULES = (records, texts, links)
 
 
 def queries() -> dict:
