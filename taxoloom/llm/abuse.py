@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from taxoloom.llm.lookalike import canonical
+from taxoloom.session import spread
 
 BITS = 17
 SIZES = (3, 4)
@@ -189,4 +190,4 @@ def score(documents: DataFrame, model: tuple[np.ndarray, float], text: str) -> D
         for part in parts:
             yield pd.Series(scores(part.tolist(), w, b))
 
-    return documents.withColumn("score", judge(F.coalesce(F.col(text), F.lit(""))))
+    return spread(documents).withColumn("score", judge(F.coalesce(F.col(text), F.lit(""))))

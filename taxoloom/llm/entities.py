@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from taxoloom.llm.entries import deletions, osa, reach
 from taxoloom.llm.lookalike import canonical
-from taxoloom.session import Scratch
+from taxoloom.session import Scratch, spread
 
 #: Words that hold a label or description together and are part of no attribute.
 JOINERS = frozenset(
@@ -303,7 +303,7 @@ def link(records: DataFrame, near: float = 0.7, share: float = 0.0018) -> DataFr
     """
     spark = records.sparkSession
     scratch = Scratch(spark, "entities")
-    once = scratch.cut(records.where("id is not null and source is not null").dropDuplicates(["id"]))
+    once = spread(scratch.cut(records.where("id is not null and source is not null").dropDuplicates(["id"])))
     attribute, frequent = learn(once, share=share)
     reader = Reader(attribute, frequent)
     labelled = once.where("label is not null").select("id", "source", "code", "label", "described")

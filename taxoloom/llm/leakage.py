@@ -23,8 +23,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from taxoloom.session import spread
+
 _MARKUP = re.compile(r"<[^<>]{0,400}>|&#?[A-Za-z0-9]{1,10};")
-_MARKS = re.compile("[̀-ͯ​-‍⁠﻿­]+")
+_MARKS = re.compile("[\u0300-\u036f\u200b-\u200d\u2060\ufeff\u00ad]+")
 _WORD = re.compile(r"[^\W_]+")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -66,7 +68,7 @@ def fingerprints(ws: list[str], k: int, least: int, known: dict[str, int] | None
 def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", least: int = 13, k: int = 5, block: int = 20000) -> DataFrame:
     """(doc_id, item_id, run_words): the longest common run of words of every document and item that share ``least``."""
     told = items.select(F.col(item_id).alias("i"), F.col(item_text).alias("t")).where("i is not null and t is not null").distinct()
-    source = documents.select(F.col(doc_id).alias("d"), F.col(text).alias("t")).where("t is not null")
+    source = spread(documents.select(F.col(doc_id).alias("d"), F.col(text).alias("t")).where("t is not null"))
     found, part = [], []
     for row in told.toLocalIterator():
         part.append((row["i"], row["t"]))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from taxoloom.session import Scratch
+from taxoloom.session import Scratch, spread
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the pattern by which byte-level vocabularies of this family cut a text before merging.
@@ -48,7 +48,7 @@ def token_counts(texts: DataFrame, row_id: str, text: str, tokenizer: str = TOKE
         encode = encoder(tokenizer).encode_ordinary
         return column.map(lambda t: len(encode(t)) if t else 0)
 
-    return texts.select(F.col(row_id), count(F.coalesce(F.col(text), F.lit(""))).alias("n_tokens"))
+    return spread(texts.select(row_id, text)).select(F.col(row_id), count(F.coalesce(F.col(text), F.lit(""))).alias("n_tokens"))
 
 
 class Levels:
