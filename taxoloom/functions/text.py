@@ -138,8 +138,8 @@ def ngrams(tokens: Column, n: int) -> Column:
     """All runs of n tokens, joined by blanks."""
 
     def runs(ts: Column) -> Column:
-        last = F.size(ts) - n + 1
-        return F.when(last >= 1, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.array_join(F.slice(ts, i, n), " "))).otherwise(F.array().cast("array<string>"))
+        heads = F.slice(ts, F.lit(1), F.greatest(F.size(ts) - (n - 1), F.lit(0)))
+        return F.transform(heads, lambda w, i: F.concat_ws(" ", w, *[F.get(ts, i + k) for k in range(1, n)]))
 
     return let(tokens, runs)
 

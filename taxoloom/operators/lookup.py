@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from taxoloom.session import spread
 from taxoloom.functions.text import let, match_key, ngrams_to, tech_tokens
 
 
@@ -72,7 +73,7 @@ def pattern_or_key(title: Column, patterns: tuple[tuple[str, str], ...], fallbac
 
 def dictionary_hits(docs: DataFrame, doc_id: str, text: str, phrases: DataFrame, most: int = 4) -> DataFrame:
     """(doc_id, entity): every dictionary phrase of up to ``most`` words in each text, once a text."""
-    grams = docs.select(doc_id, F.explode(F.array_distinct(ngrams_to(tech_tokens(text), most))).alias("key"))
+    grams = spread(docs.select(doc_id, text)).select(doc_id, F.explode(F.array_distinct(ngrams_to(tech_tokens(text), most))).alias("key"))
     return grams.join(phrases, "key").select(doc_id, "entity").distinct()
 
 
@@ -82,15 +83,12 @@ def longest_hits(docs: DataFrame, doc_id: str, text: str, phrases: DataFrame, mo
     The dictionary join finds candidate places; which of them stand depends on those before, which is decided per
     document in Arrow batches over that document's candidates only.
     """
-    nothing = F.array().cast("array<struct<at:int,n:int,key:string>>")
-
     def runs(ts: Column, n: int) -> Column:
-        last = F.size(ts) - n + 1
-        at = F.sequence(F.lit(1), F.greatest(last, F.lit(1)))
-        return F.when(last >= 1, F.transform(at, lambda i: F.struct(i.alias("at"), F.lit(n).alias("n"), F.array_join(F.slice(ts, i, n), " ").alias("key")))).otherwise(nothing)
+        heads = F.slice(ts, F.lit(1), F.greatest(F.size(ts) - (n - 1), F.lit(0)))
+        return F.transform(heads, lambda w, i: F.struct((i + 1).alias("at"), F.lit(n).alias("n"), F.concat_ws(" ", w, *[F.get(ts, i + k) for k in range(1, n)]).alias("key")))
 
     every = let(tech_tokens(text), lambda ts: F.concat(*[runs(ts, n) for n in range(most, 0, -1)]))
-    places = docs.select(doc_id, F.explode(every).alias("x")).select(doc_id, "x.*")
+    places = spread(docs.select(doc_id, text)).select(doc_id, F.explode(every).alias("x")).select(doc_id, "x.*")
     cand = places.join(phrases, "key")
     if deny:
         cand = cand.where((F.col("n") > 1) | ~F.col("key").isin(*deny))

@@ -77,6 +77,12 @@ class Scratch:
             target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A frame with work for every core: shuffled only if it is read in fewer pieces than there are cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int, count: int | None = None) -> DataFrame:
     """Hint a broadcast only if the frame is counted to be small; larger frames keep the planner's shuffle join."""
     rows = df.limit(max_rows + 1).count() if count is None else count
