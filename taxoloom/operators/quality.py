@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from taxoloom.functions.rules import CATEGORY_DOMAINS, hard_soft_of
 from taxoloom.functions.text import normalize_label
 from taxoloom.operators import graph
+from taxoloom.session import bare
 
 
 def given(column: str) -> Column:
-    return F.trim(F.coalesce(F.col(column), F.lit(""))) != ""
+    return bare(column) != ""
 
 
 def filled_counts(rows: DataFrame, columns: list[str]) -> DataFrame:

@@ -85,6 +85,12 @@ def nearest(rows: DataFrame, anchors: DataFrame) -> DataFrame:
     return cosine_pairs(*one, -1.0, 1).select("a", "b", "sim")
 
 
+def centroids(rows: DataFrame) -> DataFrame:
+    """(id, vec): the mean vector of every group."""
+    parts = rows.select("grp", F.posexplode("vec").alias("at", "x")).groupBy("grp", "at").agg(F.avg(F.col("x").cast("double")).alias("x"))
+    return parts.groupBy(F.col("grp").alias("id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "x"))), lambda s: s["x"]).alias("vec"))
+
+
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from taxoloom.queries import links, records, texts
+from taxoloom.queries import graphs, links, records, texts
 
-MODULES = (records, texts, links)
+MODULES = (records, texts, links, graphs)
 
 
 def queries() -> dict:
