@@ -38,9 +38,11 @@ from taxoloom.session import Scratch, spread
 #: Words that hold a label or description together and are part of no attribute.
 JOINERS = frozenset(
     """a able active also an and are as at being daily days done employers field for how in included is job know-how main mostly needed
-    of on one other person platform relies runs s serves setups that the then this to tool toolset typical uses using usually who with
+    of on one other person relies runs s serves setups that the then this to tool toolset typical uses using usually who with
     working works by""".split()
 )
+#: Words that belong to an attribute only inside a phrase.
+LOOSE = frozenset(("platform",))
 _WORD = re.compile(r"[a-z0-9]+(?:[-'][a-z0-9]+)*\.?|[,;:()|/]|\s-\s|\.")
 MOST_WORDS = 3
 
@@ -193,7 +195,7 @@ class Reader:
     def __init__(self, attribute: dict[str, str], frequent: set[str]):
         self.attribute = attribute
         self.parts = {w for p in attribute for w in p.split()}
-        self.known = self.parts | frequent | JOINERS
+        self.known = self.parts | frequent | JOINERS | LOOSE
         self.index: dict[str, set[str]] = defaultdict(set)
         for w in self.known:
             if len(w) > 3:
@@ -259,7 +261,7 @@ class Reader:
                     break
             else:
                 w = ws[i]
-                if w not in JOINERS:
+                if w not in JOINERS and w not in LOOSE:
                     (left if w in self.parts or w not in self.known else found).append(w)
                 i += 1
         return list(dict.fromkeys(found)), left
