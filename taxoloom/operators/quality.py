@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from taxoloom.functions.rules import CATEGORY_DOMAINS, hard_soft_of
 from taxoloom.functions.text import normalize_label
-from taxoloom.operators import graph
-from taxoloom.session import bare
+from taxoloom.operators import forest, graph
+from taxoloom.session import Scratch, bare
 
 
 def given(column: str) -> Column:
@@ -62,17 +62,17 @@ def invariants(t: dict[str, DataFrame], in_scope: str = "^(25|35|133|1|13|2|3)")
     real_occ = occ.where("coalesce(occupation_type, '') <> 'isco_group'").select(F.col("entity_id").alias("node")).distinct()
     real_skl = skl.where("coalesce(source, '') <> 'TAXONOMY'").select(F.col("entity_id").alias("node")).distinct()
     known_u, known_v = nodes.withColumnRenamed("node", "u"), nodes.withColumnRenamed("node", "v")
-    roots = down.select(F.col("u").alias("node")).distinct().join(down.select(F.col("v").alias("node")).distinct(), "node", "left_anti")
-    below = graph.reached(down, roots)
+    placed = Scratch(occ.sparkSession, "invariants").cut(forest.resolve(down.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("parent"))))
+    sound = placed.where("cycle_state = 'none'").select(F.col("entity_id").alias("node"))
     members = t["unified_skills"].select("unified_id", F.explode_outer(F.split("member_entity_ids", "\\|")).alias("m")).withColumn("m", F.trim("m"))
     sub, hs = F.trim("it_subtype"), F.lower(F.trim("hard_soft_provisional"))
     checks = {
         "edges_resolve": whole.join(known_u, "u", "left_anti").select("u", "v").unionByName(whole.join(known_v, "v", "left_anti").select("u", "v")),
         "no_self_loop": whole.where("u = v"),
-        "acyclic": graph.cycle_members(down),
+        "acyclic": placed.where("cycle_state = 'on'"),
         "one_parent_per_skill": graph.parent_counts(real_skl, down).where("parents <> 1"),
         "one_parent_per_occupation": graph.parent_counts(real_occ, down).where("parents <> 1"),
-        "occupations_reach_root": real_occ.join(below, "node", "left_anti"),
+        "occupations_reach_root": real_occ.join(sound, "node", "left_anti"),
         "groups_in_scope": occ.where("occupation_type = 'isco_group'").where(~F.coalesce(F.col("isco_code"), F.lit("")).rlike(in_scope)),
         "no_skill_over_skill": whole.join(real_skl.withColumnRenamed("node", "u"), "u", "left_semi").join(real_skl.withColumnRenamed("node", "v"), "v", "left_semi"),
         "subtypes_consistent": skl.where(~given("hard_soft_provisional") | ~given("it_subtype") | (sub.isin(*CATEGORY_DOMAINS) & (hard_soft_of(sub) != hs))),

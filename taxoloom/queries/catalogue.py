@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from taxoloom.queries import graphs, links, records, texts
+from taxoloom.queries import graphs, links, records, shapes, texts
 
-MODULES = (records, texts, links, graphs)
+MODULES = (records, texts, links, graphs, shapes)
 
 
 def queries() -> dict:

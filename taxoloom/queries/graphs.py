@@ -379,3 +379,26 @@ SQL = {
       r as (select id, f.term, tf * (ln((1.0 + (select count(*) from t)) / (1.0 + df)) + 1) as w from f join df on f.term = df.term), m as (select id, sqrt(sum(w * w)) as m from r group by 1), u as (select r.id, term, w / m as w from r join m on r.id = m.id)
       select x.id as a, y.id as b, round(sum(x.w * y.w), 3) as sim from u x join u y on x.term = y.term and x.id < y.id group by 1, 2 having sum(x.w * y.w) >= 0.5""",
 }
+
+_CHECKS = {
+    "edges_resolve": "select u from w where u not in (select n from nd) union all select v from w where v not in (select n from nd)",
+    "no_self_loop": "select u from w where u = v",
+    "acyclic": "select start from up group by start having bool_or(here = start)",
+    "one_parent_per_skill": "select n from rs left join (select distinct u, v from dn) on v = n group by n having count(u) <> 1",
+    "one_parent_per_occupation": "select n from ro left join (select distinct u, v from dn) on v = n group by n having count(u) <> 1",
+    "occupations_reach_root": "select n from ro where n not in (select node from below)",
+    "groups_in_scope": "select entity_id from occupations where occupation_type = 'isco_group' and not regexp_matches(coalesce(isco_code, ''), '^(25|35|133|1|13|2|3)')",
+    "no_skill_over_skill": "select u from w where u in (select n from rs) and v in (select n from rs)",
+    "subtypes_consistent": f"select entity_id from skills where {S.blank_null('hard_soft_provisional')} is null or {S.blank_null('it_subtype')} is null or (trim(it_subtype) in ({', '.join(S.q(k) for k in rules.CATEGORY_DOMAINS)}) and (case when starts_with(trim(it_subtype), 'soft_') then 'soft' else 'hard' end) <> lower(trim(hard_soft_provisional)))",
+    "relations_resolve": "select rel_id from occupation_skill_relations where coalesce(occupation_entity_id, '~') not in (select n from ro) union all select rel_id from occupation_skill_relations where coalesce(skill_entity_id, '~') not in (select n from rs)",
+    "members_resolve": "select m from (select trim(unnest(string_split(member_entity_ids, '|'))) as m from unified_skills) where m <> '' and m not in (select n from nd)",
+    "ids_unique": "select entity_id from occupations group by 1 having count(*) > 1 union all select entity_id from skills group by 1 having count(*) > 1",
+    "relations_unique": "select 1 from occupation_skill_relations group by occupation_entity_id, skill_entity_id, relation_type, source, weight, retrieved_at having count(*) > 1",
+}
+SQL["invariants"] = """with recursive w as (select trim(parent_entity_id) as u, trim(child_entity_id) as v, lower(trim(relation_type)) as kind from hierarchy where coalesce(trim(parent_entity_id), '') <> '' and coalesce(trim(child_entity_id), '') <> ''),
+  dn as (select u, v from w where kind = 'broader_than'), one as (select v as node, min(u) as parent from dn group by 1),
+  nd as (select entity_id as n from occupations union select entity_id from skills), ro as (select distinct entity_id as n from occupations where coalesce(occupation_type, '') <> 'isco_group'), rs as (select distinct entity_id as n from skills where coalesce(source, '') <> 'TAXONOMY'),
+  below as (select distinct parent as node from one where parent not in (select node from one) union select o.node from one o join below b on o.parent = b.node),
+  up as (select node as start, parent as here, 1 as k from one where node not in (select node from below) union all select u.start, o.parent, k + 1 from up u join one o on u.here = o.node where k < 200) """ + " union all ".join(
+    f"select '{name}' as name, count(*) = 0 as ok, count(*) as n_violations from ({sql})" for name, sql in _CHECKS.items()
+)
