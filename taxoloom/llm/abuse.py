@@ -176,8 +176,9 @@ def train(documents: DataFrame, labels: DataFrame, doc_id: str, text: str, label
     """Fits on labelled texts, at most ``max_labelled`` of them."""
     told = labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull()).groupBy(doc_id, annotator).agg(F.max(label).alias("said"))
     votes = told.groupBy(doc_id).agg(F.avg("said").alias("share"), F.count("*").alias("n"))
-    known = documents.where(F.col(text).isNotNull()).select(doc_id, F.col(text).alias("body")).join(votes, doc_id).dropDuplicates([doc_id])
-    rows = known.orderBy(F.xxhash64(doc_id), doc_id).limit(max_labelled).toPandas()
+    few = votes.orderBy(F.xxhash64(doc_id), doc_id).limit(max_labelled)  # at most this many rows of three numbers
+    known = documents.where(F.col(text).isNotNull()).select(doc_id, F.col(text).alias("body")).join(F.broadcast(few), doc_id)
+    rows = known.dropDuplicates([doc_id]).orderBy(doc_id).toPandas()
     return fit(rows["body"].tolist(), rows["share"].to_numpy(float), rows["n"].to_numpy(float))
 
 

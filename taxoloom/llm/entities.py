@@ -305,7 +305,8 @@ def link(records: DataFrame, near: float = 0.7, share: float = 0.0018) -> DataFr
     """
     spark = records.sparkSession
     scratch = Scratch(spark, "entities")
-    once = spread(scratch.cut(records.where("id is not null and source is not null").dropDuplicates(["id"])))
+    told = records.select("id", "source", "label", "described", "other", "code").where("id is not null and source is not null")
+    once = spread(scratch.cut(told.dropDuplicates(["id"])))
     attribute, frequent = learn(once, share=share)
     reader = Reader(attribute, frequent)
     labelled = once.where("label is not null").select("id", "source", "code", "label", "described")

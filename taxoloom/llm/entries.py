@@ -193,6 +193,8 @@ def repair(typed: DataFrame, vocab: list[tuple[str, str, float]]) -> DataFrame:
 def match(rows: DataFrame, value: str, entries: DataFrame, entry_id: str, first: str, second: str) -> DataFrame:
     """The rows with (entry_id, score) of the entry their value names; both null where it names none.
 
+    Columns of the rows that have these names already are replaced.
+
     The reference list is read by the driver: it is a list kept by hand, and its vocabulary goes to the plan as a table
     that the planner joins as its size demands.
     """
@@ -226,6 +228,6 @@ def match(rows: DataFrame, value: str, entries: DataFrame, entry_id: str, first:
         .agg(F.max_by(F.struct("entry", "got"), F.struct(F.round("got", 6), -F.col("entry"))).alias("best"))
     )
     named = heard.join(ranked, "heard").select(F.col("said").alias(value), F.col("best.entry").alias(entry_id), F.round(F.col("closeness"), 4).alias("score"))
-    return rows.join(named, value, "left")
+    return rows.drop(entry_id, "score").join(named, value, "left")
 
 

@@ -141,11 +141,11 @@ def test_entities(spark):
         truth[f"e{n:04d}"] = (a, t, w)
     data += [("z1", "S1", None, None, None, None), (None, "S1", "x", None, None, None), ("z2", None, "x", None, None, None), ("z3", "S2", "", None, "", None), data[0]]
     df = frame(spark, data, "id string, source string, label string, described string, other string, code string").withColumn("node", F.lit("clash"))
-    got = {tuple(r) for r in entities.matched_pairs(entities.link(df.drop("node"), share=0.004)).select("entity_id_a", "entity_id_b").collect()}
+    got = {tuple(r) for r in entities.matched_pairs(entities.link(df, share=0.004)).select("entity_id_a", "entity_id_b").collect()}
     source = {d[0]: d[1] for d in data}
     want = {(a, b) for a in truth for b in truth if a < b and truth[a] == truth[b] and source[a] != source[b]}
     assert len(got & want) / len(want) > 0.95 and len(got & want) / len(got) > 0.99
-    assert entities.matched_pairs(entities.link(df.drop("node").limit(0))).count() == 0
+    assert entities.matched_pairs(entities.link(df.limit(0))).count() == 0
 
 
 # --- 8: packing
