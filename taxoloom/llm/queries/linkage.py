@@ -80,13 +80,13 @@ grp as (select a as entity_id, least(a, min(b)) as group_id from reach group by
 _WON = """
 tell as (select v, lower(trim(replace(v, chr(160), ' '))) as t from (select distinct v from (
     select unnest([primary_label_en, hard_soft, it_subtype, sources]) as v from unified_skills union all
-    select trim(unnest(string_split(sources, '|'))) from unified_skills))
+    select trim(unnest(regexp_split_to_array(sources, '[|,;]'))) from unified_skills))
   where regexp_matches(v, '[A-Za-z0-9]') and not regexp_matches(upper(v), '^(U?(OCC|SKL)|SKT|SKD|SKC)_[0-9A-F]{12}$')
     and lower(trim(replace(v, chr(160), ' '))) not in ('n/a', '#n/a', 'none', 'null', 'unknown', '(empty)', 'tbd', 'to be defined', 'sans objet')),
 rows_ as (select distinct u.unified_id, g.group_id, u.built_at, u.primary_label_en, u.hard_soft, u.it_subtype, u.sources
   from unified_skills u join m using (unified_id) join grp g on g.entity_id = m.e),
 big as (select group_id from rows_ group by 1 having count(distinct unified_id) > 1),
-named as (select distinct unified_id, upper(trim(s)) as source from (select unified_id, unnest(string_split(sources, '|')) as s from unified_skills) where trim(s) in (select v from tell)),
+named as (select distinct unified_id, upper(trim(s)) as source from (select unified_id, unnest(regexp_split_to_array(sources, '[|,;]')) as s from unified_skills) where trim(s) in (select v from tell)),
 best as (select n.unified_id, min(t.trust_rank) as rank, count(distinct n.source) as breadth from named n left join source_trust t on n.source = upper(t.source) group by 1),
 long as (select group_id, unified_id, built_at, unnest(['primary_label_en', 'hard_soft', 'it_subtype', 'sources']) as field_name, unnest([primary_label_en, hard_soft, it_subtype, sources]) as value
   from rows_ where group_id in (select group_id from big)),

@@ -36,8 +36,8 @@ def telling(value: Column) -> Column:
 
 
 def named_sources(column: str) -> Column:
-    """Distinct sources a list names, in upper case, without stand-ins for "no value"."""
-    return F.array_distinct(F.transform(F.filter(members(column), lambda s: telling(s)), lambda s: F.upper(s)))
+    """Distinct sources a list names, parted by bars, commas or semicolons, in upper case, without stand-ins for "no value"."""
+    return F.array_distinct(F.transform(F.filter(members(column, "[|,;]"), lambda s: telling(s)), lambda s: F.upper(s)))
 
 
 def long_votes(rows: DataFrame, trust: DataFrame, fields: tuple[str, ...], row_id: str, sources: str, built: str, half_life_days: float = 365.0) -> DataFrame:

@@ -58,7 +58,7 @@ def test_group_inputs(spark):
 def test_survivor(spark):
     t = [dt(2024, 1, n) for n in range(1, 9)]
     data = [
-        ("g", "r1", t[1], "Old name", "hard", "A|b"), ("g", "r2", t[2], "New name", "N/A", "b"), ("g", "r3", t[3], "SKL_0123456789ab", "soft", "c | d|C"), ("g", "r3", t[3], "SKL_0123456789ab", "soft", "c | d|C"),
+        ("g", "r1", t[1], "Old name", "hard", "A|b"), ("g", "r2", t[2], "New name", "N/A", "b"), ("g", "r3", t[3], "SKL_0123456789ab", "soft", "c ; d,C"), ("g", "r3", t[3], "SKL_0123456789ab", "soft", "c ; d,C"),
         ("g", "r4", None, " ", None, None), ("h", "r5", t[1], "-", "???", ""), ("i", "r6", t[1], "x", "y", "zz"), ("i", "r7", t[5], "x2", "\xa0", "yy"),
     ]
     df = frame(spark, data, "group_id string, rid string, built timestamp_ntz, name string, kind string, src string").withColumn("value", F.lit("clash"))
