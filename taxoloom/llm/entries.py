@@ -71,6 +71,11 @@ def reach(word: str) -> int:
     return 0 if len(word) < 4 else 1 if len(word) < 8 else 2
 
 
+def short_reach(word: str) -> int:
+    """As ``reach``, but a word of three letters may have one edit: for lists whose entries must be found whole."""
+    return max(reach(word), int(len(word) == 3))
+
+
 def deletions(word: str, most: int) -> set[str]:
     """The word and all it becomes by leaving out up to ``most`` letters."""
     found = layer = {word}
@@ -157,7 +162,7 @@ def _tokens(column: pd.Series) -> pd.Series:
 
 @F.pandas_udf(_KEYS)
 def _deletion_keys(column: pd.Series) -> pd.Series:
-    return column.map(lambda w: sorted({f"d{k}" for k in deletions(w.rstrip("."), reach(w.rstrip(".")))} | {f"p{w.rstrip('.')}"}))
+    return column.map(lambda w: sorted({f"d{k}" for k in deletions(w.rstrip("."), short_reach(w.rstrip(".")))} | {f"p{w.rstrip('.')}"}))
 
 
 def _closeness(typed: pd.Series, form: pd.Series, known: pd.Series) -> pd.Series:
@@ -167,7 +172,7 @@ def _closeness(typed: pd.Series, form: pd.Series, known: pd.Series) -> pd.Series
             return c
         if f.startswith(word) and (len(word) > 1 and t != word or len(word) > 2 and len(f) - len(word) > 1) and c == 1.0:
             return 0.9
-        most = min(reach(word), reach(f))
+        most = min(short_reach(word), short_reach(f)) if c == 1.0 else 0  # initials are never misspelled
         d = osa(word, f, most)
         return c * (1 - d / max(len(word), len(f))) if d <= most else 0.0
 
@@ -177,17 +182,17 @@ def _closeness(typed: pd.Series, form: pd.Series, known: pd.Series) -> pd.Series
 def repair(typed: DataFrame, vocab: list[tuple[str, str, float]]) -> DataFrame:
     """(typed, token, closeness) of all tokens of the list that a typed token may stand for.
 
-    A typed token that is a form itself stands for that only; else the closest forms are taken.
+    A typed token that is a form itself stands for that only; else the closest forms and those nearly as close are taken.
     """
     spark = typed.sparkSession
-    keyed = [(f"d{k}", f, t, c) for f, t, c in vocab for k in deletions(f, reach(f))]
+    keyed = [(f"d{k}", f, t, c) for f, t, c in vocab for k in deletions(f, short_reach(f) if c == 1.0 else 0)]
     keyed += [(f"p{f[:n]}", f, t, c) for f, t, c in vocab for n in range(2, len(f) + 1)]
     table = spark.createDataFrame(keyed or [("", "", "", 0.0)], "k string, form string, token string, known double").distinct()
     measure = F.pandas_udf(_closeness, DoubleType())
     met = typed.select("typed", F.explode(_deletion_keys("typed")).alias("k")).join(table, "k").drop("k").distinct()
     near = met.withColumn("closeness", measure("typed", "form", "known")).where("closeness > 0")
     best = near.groupBy("typed").agg(F.max("closeness").alias("top"))
-    return near.join(best, "typed").where("closeness >= top - 0.0001").groupBy("typed", "token").agg(F.max("closeness").alias("closeness"))
+    return near.join(best, "typed").where("closeness >= top - 0.03").groupBy("typed", "token").agg(F.max("closeness").alias("closeness"))
 
 
 def match(rows: DataFrame, value: str, entries: DataFrame, entry_id: str, first: str, second: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from taxoloom.session import spread
 
-_MARKUP = re.compile(r"<[^<>]{0,400}>|&#?[A-Za-z0-9]{1,10};")
+_MARKUP = re.compile(r"</?[A-Za-z!][^<>]{0,400}>|&#?[A-Za-z0-9]{1,10};")
 _MARKS = re.compile("[\u0300-\u036f\u200b-\u200d\u2060\ufeff\u00ad]+")
 _WORD = re.compile(r"[^\W_]+")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
