@@ -37,6 +37,8 @@ _BLANKS = re.compile(r"[^\S\n]+")
 SHORT = 30
 #: Not fitted: a passage without evidence is clean, however rare clean passages are among the labelled.
 BIAS = -2.0
+#: Clean passages that score above this are hard to tell.
+HARD = -4.0
 _LEET = str.maketrans("013457@$!|", "oieastasil")
 _MIXED = re.compile(r"(?=[^\s]*[^\W\d_])[\w@$!|*]*[\d@$!|][\w@$!|*]*[^\W_!|]")
 
@@ -123,7 +125,7 @@ def logistic(rows: Rows, ratio: np.ndarray, target: np.ndarray, weight: np.ndarr
     return ratio * v, BIAS
 
 
-def fit(texts: list[str], labels: np.ndarray, trust: np.ndarray, rounds: int = 3, l2: float = 1e-6, steps: int = 80) -> tuple[np.ndarray, float]:
+def fit(texts: list[str], labels: np.ndarray, trust: np.ndarray, rounds: int = 3, l2: float = 1e-6, steps: int = 50) -> tuple[np.ndarray, float]:
     """Weights and bias from whole texts, the share of annotators calling each abusive, and how many there were."""
     bag_of: list[tuple[int, str]] = [(i, p) for i, t in enumerate(texts) for p in passages(t)]
     if not bag_of or not (labels > 0.5).any() or not (labels <= 0.5).any():
@@ -144,7 +146,7 @@ def fit(texts: list[str], labels: np.ndarray, trust: np.ndarray, rounds: int = 3
         worst = np.full(len(texts), -np.inf)
         np.maximum.at(worst, bag, score[which])
         if turn:
-            left_out = ((labels > 0.5) & (worst < np.where(trust > 1, -3.0, 0.0))) | ((labels <= 0.5) & (worst > np.where(trust > 1, 3.0, 1.5)))
+            left_out = ((labels > 0.5) & (worst < np.where(trust > 1, -3.0, 0.0))) | ((labels <= 0.5) & (trust <= 1) & (worst > 4.0))
         witness = bad & (score[which] >= worst[bag] - 1e-9) & ~left_out[bag]
         yes = np.bincount(which[witness], weights=trust[bag[witness]], minlength=n)
         sound = ~bad & ~left_out[bag]
@@ -156,6 +158,16 @@ def fit(texts: list[str], labels: np.ndarray, trust: np.ndarray, rounds: int = 3
         ratio = log_ratio(rows, np.sqrt(yes), np.sqrt(no))
         w, b = logistic(rows, ratio, target, weight, 0.2, l2, steps)
         score = rows.dot(w) + b
+    # the passages that are hard to tell are fitted much longer; whatever gets hard by that joins them
+    parts = np.array(list(index), dtype=object)
+    hard = np.zeros(n, bool)
+    for _ in range(3):
+        more = ((target > 0) | (score > HARD)) & ~hard
+        if not more.any():
+            break
+        hard |= more
+        w, b = logistic(Rows(parts[hard].tolist()), ratio, target[hard], weight[hard], w / np.where(ratio == 0, 1, ratio), l2, 6 * steps)
+        score = rows.dot(w) + b
     return w, b
 
 
