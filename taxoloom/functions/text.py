@@ -21,6 +21,14 @@ GENERIC_TAIL = ("approach", "approaches", "method", "methods", "methodology", "m
 ENTITIES = (("&nbsp;", " "), ("&amp;", "&"), ("&#39;", "'"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&eacute;", "é"))
 
 
+# What is a token, and how the parts of a posting's title are told apart.
+TECH_TOKEN = "[a-z0-9+.#]+"
+PROSE_TOKEN = "[A-Za-z0-9][A-Za-z0-9+.#-]*"
+TITLE_PARTS = "(?i)\\s+[-–—|/]\\s+|\\s+(?:chez|at|@)\\s+"
+GENDER_MARK = "(?i)\\b[hfmw]\\s*/\\s*[hfmw]\\b"
+EDGE_SIGNS = " \\t,.;:·•!?\"'()\\[\\]{}"
+
+
 def _col(c: Column | str) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 
@@ -122,11 +130,11 @@ def whole_at_least_one(c: Column | str) -> Column:
 
 def tech_tokens(c: Column | str) -> Column:
     """Tokens of lower-case letters, digits and + . #, in order."""
-    return F.regexp_extract_all(F.lower(_col(c)), F.lit("[a-z0-9+.#]+"), 0)
+    return F.regexp_extract_all(F.lower(_col(c)), F.lit(TECH_TOKEN), 0)
 
 
 def prose_tokens(c: Column | str) -> Column:
-    return F.regexp_extract_all(_col(c), F.lit("[A-Za-z0-9][A-Za-z0-9+.#-]*"), 0)
+    return F.regexp_extract_all(_col(c), F.lit(PROSE_TOKEN), 0)
 
 
 def let(value: Column, body) -> Column:
@@ -151,9 +159,9 @@ def ngrams_to(tokens: Column, most: int) -> Column:
 def clean_title(c: Column | str, stop_words: tuple[str, ...]) -> Column:
     """A posting's title as a bare role: the first segment with a word that is no marker, those words only."""
     x = F.regexp_replace(_col(c), "\\([^)]*\\)", " ")
-    x = F.regexp_replace(x, "(?i)\\b[hfmw]\\s*/\\s*[hfmw]\\b", " ")
-    segments = F.split(x, "(?i)\\s+[-–—|/]\\s+|\\s+(?:chez|at|@)\\s+")
-    edge = "^[ \\t,.;:·•!?\"'()\\[\\]{}]+|[ \\t,.;:·•!?\"'()\\[\\]{}]+$"
+    x = F.regexp_replace(x, GENDER_MARK, " ")
+    segments = F.split(x, TITLE_PARTS)
+    edge = f"^[{EDGE_SIGNS}]+|[{EDGE_SIGNS}]+$"
     words = F.transform(segments, lambda s: F.filter(F.transform(F.split(F.trim(s), "\\s+"), lambda w: F.regexp_replace(w, edge, "")), lambda w: (w != "") & ~normalize_label(w).isin(*stop_words)))
     return F.coalesce(F.array_join(F.get(F.filter(words, lambda ws: F.size(ws) > 0), F.lit(0)), " "), F.lit(""))
 

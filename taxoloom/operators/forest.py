@@ -63,7 +63,7 @@ def resolve(links: DataFrame) -> DataFrame:
     """(entity_id, root_entity_id, depth, cycle_state) of every node of (node, parent) links."""
     spark = links.sparkSession
     scratch = Scratch(spark, "forest")
-    base = scratch.cut(links)
+    base = scratch.cut(links.select("node", "parent"))
     local = base.mapInPandas(_contract, "node string, anc string, off int")
     active = scratch.cut(local)
     done: list[DataFrame] = []

@@ -66,7 +66,7 @@ def pattern_or_key(title: Column, patterns: tuple[tuple[str, str], ...], fallbac
     """The role of the first pattern a title holds, else the looked-up one."""
     picked = None
     for role, pattern in patterns:
-        hit = title.rlike("(?i)" + pattern)
+        hit = title.rlike("(?iu)" + pattern)
         picked = F.when(hit, role) if picked is None else picked.when(hit, role)
     return F.coalesce(picked, fallback)
 
