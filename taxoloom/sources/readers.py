@@ -25,9 +25,17 @@ def read_table(spark: SparkSession, path: str, fields: list[str], sep: str = ","
     """A delimited file by its header, as the listed columns; absent ones and blanks are ''."""
     if not exists(spark, path):
         return spark.createDataFrame([], strings(fields))
-    rows = spark.read.csv(path, header=True, sep=sep, encoding=encoding, multiLine=True, escape='"', quote='"', maxCharsPerColumn=10_000_000, enforceSchema=False)
+    western = encoding == "windows-1252"  # read as Latin-1, with the signs that differ put right afterwards
+    rows = spark.read.csv(path, header=True, sep=sep, encoding="ISO-8859-1" if western else encoding, multiLine=True, escape='"', quote='"', maxCharsPerColumn=10_000_000, enforceSchema=False)
     rows = rows.toDF(*[c.lstrip("\ufeff").strip() for c in rows.columns])
-    return rows.select(*[F.coalesce(F.col(f"`{f}`"), F.lit("")).alias(f) if f in rows.columns else F.lit("").alias(f) for f in fields])
+    right = (lambda c: F.translate(c, *western_signs())) if western else (lambda c: c)
+    return rows.select(*[F.coalesce(right(F.col(f"`{f}`")), F.lit("")).alias(f) if f in rows.columns else F.lit("").alias(f) for f in fields])
+
+
+def western_signs() -> tuple[str, str]:
+    """(from, to): what Windows-1252 means by the bytes that are control codes in Latin-1."""
+    pairs = [(chr(b), bytes([b]).decode("cp1252", "ignore")) for b in range(0x80, 0xA0)]
+    return "".join(a for a, c in pairs if c), "".join(c for _, c in pairs if c)
 
 
 def sniff(path: str, size: int = 65536) -> tuple[str, str]:
