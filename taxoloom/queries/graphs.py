@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from taxoloom.functions import rules, text
 from taxoloom.operators import graph, quality, similarity, tables
 from taxoloom.queries import sqltext as S
-from taxoloom.session import load
+from taxoloom.session import bare, load
 
 TABLES = ("occupations", "skills", "hierarchy", "occupation_skill_relations", "unified_skills", "concept_alignments")
 
@@ -29,6 +29,16 @@ def connected_components(spark, d):
     return graph.components(pairs.where("u is not null and v is not null"), nodes)
 
 
+def merge_components(spark, d):
+    """Components of all merge pairs, label and semantic, over occupations and skills."""
+    flagged = load(spark, d, "concept_alignments").where(F.lower(bare("merge_flag")).isin("label", "semantic"))
+    nodes = None
+    for name in ("occupations", "skills"):
+        part = load(spark, d, name).select(bare("entity_id").alias("node"))
+        nodes = part if nodes is None else nodes.unionByName(part)
+    return graph.components(flagged.select(bare("entity_id_a").alias("u"), bare("entity_id_b").alias("v")), nodes.where("node <> ''"))
+
+
 def cycle_check(spark, d):
     return graph.cycle_members(_edges(spark, d))
 
@@ -289,7 +299,7 @@ def tfidf_char_cosine(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        connected_components, cycle_check, reach_root, two_level_search, tree_edges, parent_counts, concept_graph_nodes, concept_graph_edges, backbone, triples, layout, member_validity, invariants,
+        connected_components, merge_components, cycle_check, reach_root, two_level_search, tree_edges, parent_counts, concept_graph_nodes, concept_graph_edges, backbone, triples, layout, member_validity, invariants,
         replace_source_rows, upsert_labels, last_write_wins, remove_source, pending_targets, quota_limits, enrich_precedence, label_fill, qa_counts, kpi_nonempty, duplicate_keys, row_multiplicity,
         unique_gold, coverage_slices, cluster_collapse, source_contribution, relation_histogram, multi_source_topn, top_skills_of_top_role, skill_to_roles, neighbourhood, scored_links,
         candidate_pairs_topk, vector_search, nearest_anchor, attach_rerank, contrastive_gate, skos_decision, tfidf_char_cosine,
@@ -311,6 +321,9 @@ _NOTGONE = "coalesce({c}, '') not in (select entity_id from gone)"
 SQL = {
     "connected_components": """with recursive p as (select entity_id_a as a, entity_id_b as b from concept_alignments where merge_flag = 'label' and entity_id_a in (select entity_id from skills) and entity_id_b in (select entity_id from skills)),
       e as (select a, b from p where a <> b union select b, a from p where a <> b), r as (select entity_id as n, entity_id as m from skills union select r.n, e.b from r join e on r.m = e.a) select n as node, min(m) as component from r group by 1""",
+    "merge_components": """with recursive k as (select trim(entity_id) as n from occupations where trim(coalesce(entity_id, '')) <> '' union select trim(entity_id) from skills where trim(coalesce(entity_id, '')) <> ''),
+      p as (select trim(entity_id_a) as a, trim(entity_id_b) as b from concept_alignments where lower(trim(merge_flag)) in ('label', 'semantic') and trim(entity_id_a) in (select n from k) and trim(entity_id_b) in (select n from k)),
+      e as (select a, b from p where a <> b union select b, a from p where a <> b), r as (select n, n as m from k union select r.n, e.b from r join e on r.m = e.a) select n as node, min(m) as component from r group by 1""",
     "cycle_check": f"""with recursive {_E}, w as (select u as start, v as here from e union select w.start, e.v from w join e on w.here = e.u), c as (select distinct start from w where start = here),
       f as (select start as n from c union select e.v from f join e on f.n = e.u), b as (select start as n from c union select e.u from b join e on b.n = e.v) select distinct f.n as node from f join b on f.n = b.n""",
     "reach_root": f"with recursive {_REACH} select node, cast(min(hops) as int) as hops from walk group by 1",
