@@ -12,8 +12,8 @@ drawn to the one whose missing attribute is spelled most alike.  What a record i
 can be drawn to, so this is done until nothing changes.
 
 Pairs with a third of the attributes' weight in common are many, and pairs of one attribute's difference are other
-things; neither is ever built.  The statistics cover all records; what the driver gets of them is bounded: phrases and
-phrase links that at least ``share`` of the records have.
+things; neither is ever built.  The statistics cover all records; the driver gets the phrases and words that at least
+``support`` records have (fewer on small inputs).  A record none of whose words is known is known by all its words.
 
 Nulls: a record without a label is described by the first attributes of its description; without both it matches
 nothing, and so does one without an id or source.  Repeated records count once; records of one source are never
@@ -108,9 +108,15 @@ def _nested(a: str, b: str) -> bool:
     return _within(a, b) or _within(b, a)
 
 
-def prune(links: dict[tuple[str, str], float], bonus: float = 1.1) -> list[tuple[str, str]]:
-    """The links that stay; a longer phrase is worth ``bonus`` for each word more."""
-    kept: list[tuple[str, str]] = []
+def prune(links: dict[tuple[str, str], float], bonus: float = 1.1, firm: list[tuple[str, str]] | None = None) -> list[tuple[str, str]]:
+    """The links that stay; a longer phrase is worth ``bonus`` for each word more.
+
+    ``firm`` links stay whatever else is found; they come first, and no other link may hold a phrase of theirs and more.
+    """
+    kept: list[tuple[str, str]] = list(firm or [])
+    fixed = frozenset(kept)
+    ends = {x for k in kept for x in k}
+    links = {k: w for k, w in links.items() if not any(x not in k and (_within(x, k[0]) or _within(x, k[1])) for x in ends)}
     for (p, q), _ in sorted(links.items(), key=lambda kv: (-kv[1] * bonus ** (len(kv[0][0].split()) + len(kv[0][1].split())), kv[0])):
         if not _nested(p, q) and not any((_nested(p, a) and _nested(q, b)) or (_nested(p, b) and _nested(q, a)) for a, b in kept):
             kept.append((p, q))
@@ -121,25 +127,37 @@ def prune(links: dict[tuple[str, str], float], bonus: float = 1.1) -> list[tuple
             p, q = link
             return any(any(x != a and _within(x, a) for x in others) and any(_within(x, b) for x in others) for a, b in ((p, q), (q, p)))
 
-        left = [k for k in kept if not explained(k)]
+        left = [k for k in kept if k in fixed or not explained(k)]
         if len(left) == len(kept):
             return kept
         kept = left
 
 
-def learn(records: DataFrame, share: float = 0.0018, least: int = 4, score: float = 0.2) -> tuple[dict[str, str], set[str]]:
-    """(phrase -> attribute, frequent words) from (label, other) of all records."""
+def coherent(phrase: str, n: dict[str, int], least: float = 0.2) -> bool:
+    """Whether the parts of a phrase are seen together often against how often they are seen at all."""
+    ws = phrase.split()
+    return all(n[phrase] >= least * math.sqrt(n.get(" ".join(ws[:k]), 1) * n.get(" ".join(ws[k:]), 1)) for k in range(1, len(ws)))
+
+
+def learn(records: DataFrame, share: float = 0.0018, least: int = 4, score: float = 0.2, support: int = 20) -> tuple[dict[str, str], set[str]]:
+    """(phrase -> attribute, frequent words) from (label, other) of all records.
+
+    Phrases that ``share`` of the records have are linked first.  Rarer ones need ``support`` records, whatever the
+    number of all records, and parts that belong together; they add links where those of the first don't explain them.
+    """
     counts = records.select("label", "other").mapInPandas(_singles, "kind string, phrase string, n long").groupBy("kind", "phrase").agg(F.sum("n").alias("n"))
     counts = Scratch(records.sparkSession, "phrases").cut(counts)
     total = {r["kind"]: r["n"] for r in counts.where("phrase = ''").collect()}
     base = share * total.get("told", 0)
-    floor = max(least, base + math.sqrt(base))
+    common = max(least, base + math.sqrt(base))
+    floor = min(common, max(least, support))
     alone: dict[str, dict[str, int]] = defaultdict(dict)
     for r in counts.where((F.col("phrase") != "") & F.col("kind").isin("label", "other") & (F.col("n") >= floor)).toLocalIterator():
         alone[r["kind"]][r["phrase"]] = r["n"]
-    word_floor = max(least, 0.0015 * total.get("records", 0))
+    alone = {kind: {p: n for p, n in seen.items() if n >= common or coherent(p, seen)} for kind, seen in alone.items()}
+    word_floor = max(least, min(support, 0.0015 * total.get("records", 0)))
     frequent = {r["phrase"]: r["n"] for r in counts.where((F.col("kind") == "word") & (F.col("n") >= word_floor)).toLocalIterator()}
-    left, right = frozenset(alone["label"]), frozenset(alone["other"])
+    left, right = frozenset(alone.get("label", ())), frozenset(alone.get("other", ()))
 
     def pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter = Counter()
@@ -155,13 +173,15 @@ def learn(records: DataFrame, share: float = 0.0018, least: int = 4, score: floa
         yield _flush(seen, ["p", "q", "n"])
 
     links: dict[tuple[str, str], float] = {}
+    rare: dict[tuple[str, str], float] = {}
     if left and right:
         met = records.select("label", "other").mapInPandas(pairs, "p string, q string, n long").groupBy("p", "q").agg(F.sum("n").alias("n")).where(F.col("n") >= floor)
         for r in met.toLocalIterator():
             weight = r["n"] / math.sqrt(alone["label"][r["p"]] * alone["other"][r["q"]])
             key = (min(r["p"], r["q"]), max(r["p"], r["q"]))
-            if weight >= score and weight > links.get(key, 0):
-                links[key] = weight
+            kind = links if r["n"] >= common else rare
+            if weight >= score and weight > kind.get(key, 0):
+                kind[key] = weight
     parent: dict[str, str] = {}
 
     def top(x: str) -> str:
@@ -169,14 +189,14 @@ def learn(records: DataFrame, share: float = 0.0018, least: int = 4, score: floa
             x = parent[x]
         return x
 
-    for p, q in prune(links):
+    for p, q in prune({k: w for k, w in rare.items() if k not in links}, firm=prune(links)):
         a, b = sorted((top(p), top(q)))
         parent[b] = a
     return {p: top(p) for p in parent}, _sure(frequent)
 
 
 def _sure(frequent: dict[str, int]) -> set[str]:
-    """Frequent words without those that are misspellings of a far more frequent one."""
+    """Frequent words without those that are misspellings, or pieces, of a far more frequent one."""
     index = defaultdict(set)
     for w in frequent:
         for d in deletions(w, reach(w)):
@@ -186,7 +206,13 @@ def _sure(frequent: dict[str, int]) -> set[str]:
         near = {o for d in deletions(w, reach(w)) for o in index[d]} - {w}
         return any(frequent[o] >= 8 * frequent[w] and osa(w, o, min(reach(w), reach(o))) <= min(reach(w), reach(o)) for o in near)
 
-    return {w for w in frequent if not slip(w)}
+    pieces = set()
+    for w, n in frequent.items():
+        for k in range(1, len(w)):
+            halves = {w[:k], w[k:]}
+            if all(8 * frequent.get(h, n) <= n for h in halves):
+                pieces |= halves
+    return {w for w in frequent if w not in pieces and not slip(w)}
 
 
 class Reader:
@@ -227,11 +253,11 @@ class Reader:
         i = 0
         while i < len(raw):
             w, after = raw[i], raw[i + 1] if i + 1 < len(raw) else ""
-            if w in self.known:
-                out.append(w)
-            elif after and w + after in self.known:
+            if after and w + after in self.known:
                 out.append(w + after)
                 i += 1
+            elif w in self.known:
+                out.append(w)
             elif w.replace("-", "") in self.known:
                 out.append(w.replace("-", ""))
             elif "-" in w and all(x in self.known for x in w.split("-")):
@@ -267,6 +293,12 @@ class Reader:
         return list(dict.fromkeys(found)), left
 
 
+def whole(text: str | None) -> str:
+    """All a text says, in one spelling: what a record without any attribute is known by."""
+    said = canonical(text) or ""
+    return " ".join(w for w in words(said) if w not in ("|", ".")) or " ".join(said.lower().split())
+
+
 def attributes(records: DataFrame, reader: Reader, size: int | None = None) -> DataFrame:
     """The records with ``have`` (sorted attributes) and ``left`` (words left over, as one text).
 
@@ -287,7 +319,7 @@ def attributes(records: DataFrame, reader: Reader, size: int | None = None) -> D
                 else:
                     found, rest = [], []
                 have.append(sorted(found))
-                left.append(" ".join(rest))
+                left.append(" ".join(rest) if found or rest else whole(label))
             yield frame.assign(have=have, left=left)
 
     return records.mapInPandas(run, schema)
@@ -313,9 +345,10 @@ def link(records: DataFrame, near: float = 0.7, share: float = 0.0018) -> DataFr
     sized = scratch.cut(attributes(labelled, reader))
     usual = sized.where("left = ''").groupBy(F.size("have").alias("n")).count().orderBy(F.desc("count"), "n").first()
     bare = attributes(once.where("label is null and described is not null").select("id", "source", "code", "label", "described"), reader, usual["n"] if usual else None)
-    read = scratch.cut(sized.unionByName(bare).where("size(have) > 0").select("id", "source", "code", "have", "left"))
+    read = scratch.cut(sized.unionByName(bare).select("id", "source", "code", "have", "left").where("size(have) > 0 or left <> ''"))
     placed = read.where("left = ''").select("id", "source", "code", F.array_join("have", "|").alias("node"), F.lit(1.0).alias("closeness"))
-    astray = read.where("left <> ''")
+    astray = read.where("left <> '' and size(have) > 0")
+    nameless = read.where("left <> '' and size(have) = 0")
     forms = spark.createDataFrame([(a, p) for p, a in attribute.items()] or [("", "")], "missing string, form string")
     alike = F.pandas_udf(_alike, "double")
     while True:
@@ -331,7 +364,8 @@ def link(records: DataFrame, near: float = 0.7, share: float = 0.0018) -> DataFr
             break
         placed = placed.unionByName(new)
         astray = scratch.cut(astray.join(new.select("id"), "id", "left_anti"))
-    lone = astray.select("id", "source", "code", F.concat_ws("|", F.array_join("have", "|"), F.concat(F.lit("~"), F.col("left"))).alias("node"), F.lit(1.0).alias("closeness"))
+    told = F.concat(F.lit("~"), F.array_join(F.array_sort(F.array_distinct(F.split("left", " "))), " "))
+    lone = astray.unionByName(nameless).select("id", "source", "code", F.concat_ws("|", F.when(F.size("have") > 0, F.array_join("have", "|")), told).alias("node"), F.lit(1.0).alias("closeness"))
     return placed.unionByName(lone)
 
 

@@ -148,6 +148,22 @@ def test_entities(spark):
     assert entities.matched_pairs(entities.link(df.limit(0))).count() == 0
 
 
+def test_records_of_rare_words_stay(spark):
+    data = [(f"e{n:04d}", f"S{n % 3}", f"audit web forms with Tool{n % 5}ax", None, None, None) for n in range(600)]
+    data += [("r1", "S1", "Zymurgist, Quokka", None, None, None), ("r2", "S2", "quokka zymurgist", None, None, None), ("r3", "S1", "Москва", None, None, None), ("r4", "S2", "москва", None, None, None), ("r5", "S2", "zymurgist", None, None, None)]
+    df = frame(spark, data, "id string, source string, label string, described string, other string, code string")
+    got = {tuple(r) for r in entities.matched_pairs(entities.link(df)).where("entity_id_a like 'r%' or entity_id_b like 'r%'").select("entity_id_a", "entity_id_b").collect()}
+    assert got == {("r1", "r2"), ("r3", "r4")}
+
+
+def test_rare_synonyms_are_learnt_whatever_the_rest(spark):
+    many = [(f"audit number{n % 7}", f"audit number{n % 7}") for n in range(40000)]
+    few = [(f"{'steer' if n % 2 else 'pilot'} kite{n % 3}", f"{'pilot' if n % 2 else 'steer'} kite{n % 3}") for n in range(60)]
+    attribute, frequent = entities.learn(frame(spark, many + few, "label string, other string"))
+    assert attribute["steer"] == attribute["pilot"] and "kite1" in frequent
+    assert entities._sure({"bofutak": 900, "bo": 30, "futak": 28, "data": 500, "base": 400, "database": 900}) == {"bofutak", "data", "base", "database"}
+
+
 # --- 8: packing
 
 
