@@ -15,8 +15,8 @@ Pairs with a third of the attributes' weight in common are many, and pairs of on
 things; neither is ever built.  The statistics cover all records; the driver gets the phrases and words that at least
 ``support`` records have (fewer on small inputs).  A record none of whose words is known is known by all its words.
 
-Nulls: a record without a label is described by the first attributes of its description; without both it matches
-nothing, and so does one without an id or source.  Repeated records count once; records of one source are never
+Nulls: a record without a label is read from its whole description and goes to the known node with most attributes,
+all of them named there, else it is known by all of them; without both it matches nothing, and so does one without an id or source.  Repeated records count once; records of one source are never
 matched.  Empty tables give an empty result.
 """
 
@@ -299,10 +299,11 @@ def whole(text: str | None) -> str:
     return " ".join(w for w in words(said) if w not in ("|", ".")) or " ".join(said.lower().split())
 
 
-def attributes(records: DataFrame, reader: Reader, size: int | None = None) -> DataFrame:
+def attributes(records: DataFrame, reader: Reader) -> DataFrame:
     """The records with ``have`` (sorted attributes) and ``left`` (words left over, as one text).
 
-    With ``size``, records without a label are read from their description's first ``size`` attributes.
+    Records without a label get all attributes of their whole description, in the order they are named, and have no
+    words left over.
     """
     schema = f"{', '.join(f'`{n}` {t}' for n, t in records.dtypes)}, have array<string>, left string"
 
@@ -312,14 +313,11 @@ def attributes(records: DataFrame, reader: Reader, size: int | None = None) -> D
             for label, text in zip(frame["label"], frame["described"]):
                 if label and label.strip():
                     found, rest = reader.read(label)
-                elif text and size:
-                    opening = re.split(r"(?<=\.)\s", text)
-                    found, rest = reader.read(" ".join(opening[:2]))[0][:size], []
-                    found = found if len(found) == size else []
+                    have.append(sorted(found))
                 else:
-                    found, rest = [], []
-                have.append(sorted(found))
-                left.append(" ".join(rest) if found or rest else whole(label))
+                    found, rest = reader.read(text)[0], []
+                    have.append(found)
+                left.append(" ".join(rest) if found or rest else whole(label if label and label.strip() else text))
             yield frame.assign(have=have, left=left)
 
     return records.mapInPandas(run, schema)
@@ -330,6 +328,32 @@ def _alike(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([1 - osa(x, y, max(len(x), len(y))) / max(len(x), len(y), 1) for x, y in zip(a, b)])
 
 
+def named(described: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(id, node): of the nodes whose attributes are all in ``have``, the one with most of them.
+
+    Of several, the one whose attributes are named first, then the one with the rarest.
+    Nodes are met by their two rarest attributes together.  Where another attribute of a record goes with each of the
+    node's, the record is about something narrower than the node and has none.  Where an earlier named one goes with all
+    of them but one, it takes the place of that one.
+    """
+    parts = nodes.select("node", F.split("node", "\\|").alias("all"))
+    each = parts.select("node", "all", F.explode("all").alias("x"))
+    seen = each.groupBy("x").agg(F.count("*").alias("n"))
+    ranked = each.join(seen, "x").groupBy("node", "all").agg(F.slice(F.array_sort(F.collect_list(F.struct("n", "x"))), 1, 2).alias("two"), F.sum(-F.log("n")).alias("rarity"), F.count("*").alias("size"))
+    keyed = ranked.crossJoin(nodes.agg(F.log(F.count("*") + 1.0).alias("most"))).select("node", "all", (F.col("rarity") + F.col("size") * F.col("most")).alias("weight"), F.array_join(F.array_sort(F.transform("two", lambda t: t["x"])), "|").alias("key"))
+    pairs = F.expr("flatten(transform(have, (x, i) -> transform(slice(have, i + 2, size(have)), y -> array_join(array_sort(array(x, y)), '|'))))")
+    late = F.aggregate("all", F.lit(0).cast("long"), lambda at, x: at + F.array_position("have", x))
+    met = described.select("id", "have", F.explode(F.concat("have", pairs)).alias("key")).join(keyed, "key").where(F.size(F.array_except("all", "have")) == 0)
+    best = Scratch(nodes.sparkSession, "named").cut(met.groupBy("id", "have").agg(F.max_by(F.struct("node", "all"), F.struct(F.size("all"), -late, "weight", "node")).alias("b")).select("id", "b.node", "b.all", "have", F.array_except("have", "b.all").alias("more")))
+    together = each.select("x", F.explode("all").alias("other")).distinct()
+    goes = best.select("id", "all", "have", F.explode("more").alias("other")).select("*", F.explode("all").alias("x")).join(together, ["x", "other"]).groupBy("id", "all", "have", "other").agg(F.collect_set("x").alias("with"))
+    narrower = goes.where(F.size("with") == F.size("all")).select("id").distinct()
+    # an attribute named before one of the node's that it never goes with stands in its place
+    swap = goes.where(F.size("with") == F.size("all") - 1).withColumn("out", F.get(F.array_except("all", "with"), F.lit(0))).where(F.array_position("have", F.col("other")) < F.array_position("have", F.col("out")))
+    swap = swap.groupBy("id").agg(F.min_by(F.array_join(F.array_sort(F.concat("with", F.array("other"))), "|"), F.struct(F.array_position("have", F.col("other")), "out")).alias("own"))
+    return best.join(narrower, "id", "left_anti").join(swap, "id", "left").select("id", F.coalesce("own", "node").alias("node"))
+
+
 def link(records: DataFrame, near: float = 0.7, share: float = 0.0018) -> DataFrame:
     """(id, source, code, node, closeness): what every record describes; records of one ``node`` describe the same.
 
@@ -343,12 +367,11 @@ def link(records: DataFrame, near: float = 0.7, share: float = 0.0018) -> DataFr
     reader = Reader(attribute, frequent)
     labelled = once.where("label is not null").select("id", "source", "code", "label", "described")
     sized = scratch.cut(attributes(labelled, reader))
-    usual = sized.where("left = ''").groupBy(F.size("have").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    bare = attributes(once.where("label is null and described is not null").select("id", "source", "code", "label", "described"), reader, usual["n"] if usual else None)
-    read = scratch.cut(sized.unionByName(bare).select("id", "source", "code", "have", "left").where("size(have) > 0 or left <> ''"))
+    unlabelled = scratch.cut(attributes(once.where("label is null and described is not null").select("id", "source", "code", "label", "described"), reader))
+    read = sized.where("size(have) > 0 or left <> ''").select("id", "source", "code", "have", "left")
     placed = read.where("left = ''").select("id", "source", "code", F.array_join("have", "|").alias("node"), F.lit(1.0).alias("closeness"))
     astray = read.where("left <> '' and size(have) > 0")
-    nameless = read.where("left <> '' and size(have) = 0")
+    nameless = read.unionByName(unlabelled.select(*read.columns)).where("left <> '' and size(have) = 0")
     forms = spark.createDataFrame([(a, p) for p, a in attribute.items()] or [("", "")], "missing string, form string")
     alike = F.pandas_udf(_alike, "double")
     while True:
@@ -364,6 +387,9 @@ def link(records: DataFrame, near: float = 0.7, share: float = 0.0018) -> DataFr
             break
         placed = placed.unionByName(new)
         astray = scratch.cut(astray.join(new.select("id"), "id", "left_anti"))
+    about = unlabelled.where("size(have) > 0")
+    chosen = about.join(named(about, placed.select("node").distinct()), "id", "left")
+    placed = placed.unionByName(chosen.select("id", "source", "code", F.coalesce("node", F.array_join(F.array_sort("have"), "|")).alias("node"), F.lit(1.0).alias("closeness")))
     told = F.concat(F.lit("~"), F.array_join(F.array_sort(F.array_distinct(F.split("left", " "))), " "))
     lone = astray.unionByName(nameless).select("id", "source", "code", F.concat_ws("|", F.when(F.size("have") > 0, F.array_join("have", "|")), told).alias("node"), F.lit(1.0).alias("closeness"))
     return placed.unionByName(lone)

@@ -164,6 +164,16 @@ def test_rare_synonyms_are_learnt_whatever_the_rest(spark):
     assert entities._sure({"bofutak": 900, "bo": 30, "futak": 28, "data": 500, "base": 400, "database": 900}) == {"bofutak", "data", "base", "database"}
 
 
+def test_whole_descriptions_are_read(spark):
+    acts, things, tools = ["audit", "repair", "index"], ["webforms", "antennas", "queues", "sensors"], ["Kaninos", "Bugeron", "Vesikax", "Mobazex", "Tutidik"]
+    data = [(f"e{n:04d}", f"S{n % 3}", f"{acts[n % 3]} {things[n // 3 % 4]} with {tools[n // 12 % 5]}", None, None, None) for n in range(600)]
+    late = "Starts early. Meets people, e.g. neighbours. Likes tea. Has to audit things. Often on webforms. Relies on Kaninos."
+    data += [("z1", "S9", None, late, None, None), ("z2", "S9", None, "Will repair antennas by Bugeron. Meets queues.", None, None), ("z3", "S9", None, "Will audit webforms.", None, None)]
+    df = frame(spark, data, "id string, source string, label string, described string, other string, code string")
+    node = {r["id"]: r["node"] for r in entities.link(df).where("id like 'z%'").collect()}
+    assert node == {"z1": "audit|kaninos|webforms", "z2": "antennas|bugeron|repair", "z3": "audit|webforms"}
+
+
 # --- 8: packing
 
 
