@@ -15,7 +15,7 @@ Pairs with a third of the attributes' weight in common are many, and pairs of on
 things; neither is ever built.  The statistics cover all records; the driver gets the phrases and words that at least
 ``support`` records have (fewer on small inputs).  A record none of whose words is known is known by all its words.
 
-Nulls: a record without a label is read from its whole description and goes to the known node with most attributes,
+Nulls: a record without a label, blank ones too, is read from its whole description and goes to the known node with most attributes,
 all of them named there, else it is known by all of them; without both it matches nothing, and so does one without an id or source.  Repeated records count once; records of one source are never
 matched.  Empty tables give an empty result.
 """
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from taxoloom.llm.entries import deletions, osa, reach
 from taxoloom.llm.lookalike import canonical
-from taxoloom.session import Scratch, spread
+from taxoloom.session import Scratch, bare, spread
 
 #: Words that hold a label or description together and are part of no attribute.
 JOINERS = frozenset(
@@ -362,6 +362,7 @@ def link(records: DataFrame, near: float = 0.7, share: float = 0.0018) -> DataFr
     spark = records.sparkSession
     scratch = Scratch(spark, "entities")
     told = records.select("id", "source", "label", "described", "other", "code").where("id is not null and source is not null")
+    told = told.withColumns({c: F.when(bare(c) != "", F.col(c)) for c in ("label", "described")})
     once = spread(scratch.cut(told.dropDuplicates(["id"])))
     attribute, frequent = learn(once, share=share)
     reader = Reader(attribute, frequent)

@@ -174,6 +174,13 @@ def test_whole_descriptions_are_read(spark):
     assert node == {"z1": "audit|kaninos|webforms", "z2": "antennas|bugeron|repair", "z3": "audit|webforms"}
 
 
+def test_blank_labels_are_no_labels(spark):
+    data = [(f"e{n:02d}", f"S{n % 3}", f"audit webforms with {['Kaninos', 'Bugeron'][n % 2]}", None, None, None) for n in range(60)]
+    data += [(f"z{n}", "S9", label, "Has to audit things. Often on webforms. Relies on Kaninos.", None, None) for n, label in enumerate(["", "  ", "\xa0"])]
+    df = frame(spark, data, "id string, source string, label string, described string, other string, code string")
+    assert {r["node"] for r in entities.link(df).where("id like 'z%'").collect()} == {"audit|kaninos|webforms"}
+
+
 # --- 8: packing
 
 
