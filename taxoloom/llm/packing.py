@@ -80,17 +80,23 @@ class Levels:
         return box
 
 
-def pack(sizes: DataFrame, capacities: DataFrame, row_id: str, size_id: str = "size_id", capacity: str = "capacity_tokens", shard_items: int = 20000) -> DataFrame:
+def pack(sizes: DataFrame, capacities: DataFrame, row_id: str, size_id: str = "size_id", capacity: str = "capacity_tokens", shard_items: int = 20000, block: int = 200) -> DataFrame:
     """(size_id, shard, container, row_id, piece, n_tokens): what is in every container of every capacity.
 
-    ``sizes`` has (row_id, n_tokens).
+    ``sizes`` has (row_id, n_tokens).  Capacities are a list kept by hand, read by the driver and dealt with in blocks.
     """
     spark = sizes.sparkSession
     kinds = dict(sizes.dtypes)[row_id], dict(capacities.dtypes)[size_id]
     items = Scratch(spark, "packing").cut(sizes.where("n_tokens > 0").groupBy(row_id).agg(F.max("n_tokens").alias("n_tokens")))
     shards = max(1, -(-items.count() // shard_items))
-    boxes = F.broadcast(capacities.where(F.col(capacity) >= 1).select(size_id, F.col(capacity).cast("int").alias("capacity")).distinct().limit(1000))
-    dealt = items.withColumn("shard", F.pmod(F.xxhash64(row_id), F.lit(shards)).cast("int")).join(boxes)
+    boxes = [tuple(r) for r in capacities.where(F.col(capacity) >= 1).select(size_id, F.col(capacity).cast("int")).distinct().toLocalIterator()]
+    dealt = None
+    for at in range(0, max(1, len(boxes)), block):
+        ids, caps = ([b[k] for b in boxes[at : at + block]] for k in (0, 1))
+        each = F.explode(F.arrays_zip(F.lit(ids).cast(f"array<{kinds[1]}>").alias("i"), F.lit(caps).cast("array<int>").alias("c")))
+        part = items.withColumn("shard", F.pmod(F.xxhash64(row_id), F.lit(shards)).cast("int")).withColumn("_b", each)
+        part = part.select(row_id, "n_tokens", "shard", F.col("_b.i").alias(size_id), F.col("_b.c").alias("capacity"))
+        dealt = part if dealt is None else dealt.unionByName(part)
 
     def fill(frame: pd.DataFrame) -> pd.DataFrame:
         cap = int(frame["capacity"].iloc[0])

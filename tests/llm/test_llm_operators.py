@@ -201,6 +201,13 @@ def test_packing(spark):
         assert sum(mine) / (len(mine) * cap[s]) > 0.95
 
 
+def test_packing_into_many_capacities(spark):
+    caps = frame(spark, [(n, 10 + n) for n in range(1203)], "size_id long, capacity_tokens int")
+    out = packing.pack(frame(spark, [(1, 7), (2, 4)], "doc_id long, n_tokens long"), caps, "doc_id")
+    assert out.select("size_id", "doc_id").distinct().count() == 2 * 1203
+    assert packing.pack(frame(spark, [(1, 7)], "doc_id long, n_tokens long"), caps.limit(0), "doc_id").count() == 0
+
+
 def test_token_counts(spark):
     texts = frame(spark, [(1, "hello world"), (2, ""), (3, None), (4, "é" * 3000)], "doc_id long, text string")
     got = dict(rows(packing.token_counts(texts, "doc_id", "text"), "doc_id", "n_tokens"))
