@@ -48,8 +48,11 @@ def stage_hierarchy(ctx: Context, kb: KB) -> KB:
 
 
 def stage_align(ctx: Context, kb: KB) -> KB:
-    """Pairs of different sources with one key, as exact matches; always all of them, so added sources end as rebuilt ones do."""
-    rows = kb["skills"].where("coalesce(source, '') <> 'TAXONOMY'").select("entity_id", "source", match_key("pref_label_en").alias("key"), F.coalesce("hard_soft_provisional", F.lit("")).alias("kind")).where("key <> ''").dropDuplicates(["entity_id"])
+    """Skills with one key, as exact matches; always all of them, so added sources end as rebuilt ones do.
+
+    The French label serves where there is no English one.  Near pairs, and pairs of occupations, are not sought here.
+    """
+    rows = kb["skills"].where("coalesce(source, '') <> 'TAXONOMY'").select("entity_id", "source", match_key(first_given("pref_label_en", "pref_label_fr")).alias("key"), F.coalesce("hard_soft_provisional", F.lit("")).alias("kind")).where("key <> ''").dropDuplicates(["entity_id"])
     stars = lookup.star_edges(rows, "entity_id", ["key", "kind"], "entity_id")
     of = rows.select("entity_id", "source")
     pairs = stars.join(of.select(F.col("entity_id").alias("a"), F.col("source").alias("source_a")), "a").join(of.select(F.col("entity_id").alias("b"), F.col("source").alias("source_b")), "b")

@@ -79,6 +79,14 @@ def test_add_then_remove_restores(spark, tmp_path):
         assert gone[t].count() == base[t].count()
 
 
+def test_align_falls_back_to_french(spark, tmp_path):
+    kb = {t: load(spark, DATA, t).limit(0) for t in ("skills", "concept_alignments")}
+    made = [("SKL_1", "A", None, "Travail en équipe"), ("SKL_2", "B", " ", "travail en equipe"), ("SKL_3", "C", "teamwork", "Travail en équipe")]
+    skills = kb["skills"].unionByName(frame(spark, made, "entity_id string, source string, pref_label_en string, pref_label_fr string"), allowMissingColumns=True)
+    got = pipeline.stage_align(pipeline.Context(spark, registry.Registry(), f"file://{tmp_path}"), kb | {"skills": skills})["concept_alignments"]
+    assert [(r["entity_id_a"], r["entity_id_b"], r["merge_flag"]) for r in got.collect()] == [("SKL_1", "SKL_2", "label")]
+
+
 def test_stages():
     assert pipeline.chosen(None, "align", "merge") == ["align", "attach", "merge"]
     assert pipeline.chosen(["qa", "ingest"]) == ["ingest", "qa"]
