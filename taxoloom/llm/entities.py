@@ -6,7 +6,7 @@ links are weighted by how often they are seen against how often their ends are;
 that shorter links explain, again and again until none is left to prune.  The phrases that stay linked are one
 attribute.  Words no phrase has are repaired by edit distance to frequent words, joined or cut where that helps.
 
-Records are then linked by their attributes, weighted by rarity.  A record whose words are all placed has candidates
+Records are then linked by equal attributes; there is no weighting by rarity and no pruned graph of records.  A record whose words are all placed has candidates
 only among those that share every attribute; one with words left over has candidates that share all but one, and is
 drawn to the one whose missing attribute is spelled most alike.  What a record is drawn to widens what its neighbours
 can be drawn to, so this is done until nothing changes.
