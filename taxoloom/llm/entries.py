@@ -1,4 +1,4 @@
-"""Mapping freely typed values to the entries of a reference list, by token repair and soft TF-IDF.
+"""Mapping freely typed values to the entries of a reference list, by token repair and idf weights.
 
 The reference list is read as a grid: entries that start alike (or end alike, in the second language) share a role, the
 rest of the entry is its field, and the two languages are lined up through the entries that have both.  An entry can
@@ -7,8 +7,8 @@ text is found all the same.
 
 Every distinct token typed is joined once with the vocabulary of these forms: by equality of deletion keys (all ways of
 leaving out up to two letters), after which the edit distance with swaps decides; by shortening, with or without a dot;
-as initials of a phrase.  Titles with the same set of repaired tokens are ranked once.  The score of an entry is the
-TF-IDF weight of its tokens found, softened by how close they are.  Only entries of which every telling token is found
+as initials of a phrase.  Titles with the same set of repaired tokens are ranked once.  Entries are
+ranked by the idf of their tokens; how close the tokens are decides which a typed one may stand for, not the rank.  Only entries of which every telling token is found
 are taken: a listed role in an unlisted field, and any other text, is unmatched.
 
 Null, empty and blank values are unmatched; values of any length are read whole; repeated values are ranked once and
