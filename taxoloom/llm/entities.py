@@ -1,23 +1,34 @@
-"""Matching entities across sources without keys, by collective linkage in a graph of records and attributes.
+"""Matching entities across sources without keys, by collective linkage in a graph of records.
 
 Attributes are the phrases of a record's label.  Sources name the same attribute differently, so phrases are linked
 first: where a label says p and the record's own other text says q in its place, p and q may name one attribute.  Such
-links are weighted by how often they are seen against how often their ends are; weak ones are pruned, and so are those
-that shorter links explain, again and again until none is left to prune.  The phrases that stay linked are one
-attribute.  Words no phrase has are repaired by edit distance to frequent words, joined or cut where that helps.
-
-Records are then linked by equal attributes; there is no weighting by rarity and no pruned graph of records.  A record whose words are all placed has candidates
-only among those that share every attribute; one with words left over has candidates that share all but one, and is
-drawn to the one whose missing attribute is spelled most alike.  What a record is drawn to widens what its neighbours
-can be drawn to, so this is done until nothing changes.
-
-Pairs with a third of the attributes' weight in common are many, and pairs of one attribute's difference are other
-things; neither is ever built.  The statistics cover all records; the driver gets the phrases and words that at least
-``support`` records have (fewer on small inputs).  A record none of whose words is known is known by all its words.
-
-Nulls: a record without a label, blank ones too, is read from its whole description and goes to the known node with most attributes,
-all of them named there, else it is known by all of them; without both it matches nothing, and so does one without an id or source.  Repeated records count once; records of one source are never
-matched.  Empty tables give an empty result.
+links are weighted by how often they are seen against how often their ends are, and must be seen far more often than
+chance would have it; weak ones are pruned, and so are those that shorter links explain, again and again until none is
+left to prune.  The phrases that stay linked are one attribute.  Words no phrase has are repaired by edit distance to
+frequent words, joined or cut where that helps.  A word is left out where the records that have it are found without it
+too: it decorates and tells nothing.
+
+Records that say the same, word for word after this, are one class; all further work is on classes.
+
+1. Candidate graph.  A class whose words are all placed is a node.  A class with words left over is joined with the
+   nodes that share its two rarest attributes, taken together, so no hot attribute alone makes candidates.  An edge's
+   weight is the share of the union's rarity (log of inverse frequency) that both sides have.
+2. Meta-blocking.  Of each class only the edges that weigh at least half of its heaviest edge are kept.
+3. Propagation.  The words left over stand against the attributes that are missing.  Their similarity is that of their
+   spelling, or that of their neighbours: words left over in several classes whose kept edges nearly all lack one and
+   the same attribute name that attribute.  An edge's similarity is its weight with the missing attributes added as far
+   as they are alike.  Each class goes to its most similar node if that reaches ``enough``; what it took away from the
+   ambiguity changes the neighbours' similarities, so this is repeated until nothing changes.
+
+Two nodes differ in an attribute that is known and not the other's, so their similarity can't reach ``enough`` and they
+are never compared.  The statistics cover all records; the driver gets the phrases and words that at least ``support``
+records have, which grow with the vocabulary and not with the records.  A record none of whose words is known is known
+by all its words.
+
+Nulls: a record without a label, blank ones too, is read from its whole description and goes to the node with most
+attributes, all of them named there, else it is known by all of them; without both it matches nothing, and so does one
+without an id or source.  Repeated records count once; records of one source are never matched.  Empty tables give an
+empty result.
 """
 
 from __future__ import annotations
@@ -35,14 +46,14 @@ from taxoloom.llm.entries import deletions, osa, reach
 from taxoloom.llm.lookalike import canonical
 from taxoloom.session import Scratch, bare, spread
 
-#: Words that hold a label or description together and are part of no attribute.
+#: Function words of English, which are part of no attribute.
 JOINERS = frozenset(
-    """a able active also an and are as at being daily days done employers field for how in included is job know-how main mostly needed
-    of on one other person relies runs s serves setups that the then this to tool toolset typical uses using usually who with
-    working works by""".split()
+    """a about above after against all also am an and any are as at be been before being below between both but by can could did do does
+    doing during each few for from had has have having he her here hers him his how i if in into is it its itself may me might more most
+    must my no nor not of on one or other our out over own per same shall she should so some such than that the their them then there
+    these they this those through to too under up upon us via was we were what when where which while who whom whose why will with within
+    without would you your using""".split()
 )
-#: Words that belong to an attribute only inside a phrase.
-LOOSE = frozenset(("platform",))
 _WORD = re.compile(r"[a-z0-9]+(?:[-'][a-z0-9]+)*\.?|[,;:()|/]|\s-\s|\.")
 MOST_WORDS = 3
 
@@ -74,6 +85,22 @@ def phrases(ws: list[str]) -> set[str]:
     return found
 
 
+def tokenised(records: DataFrame) -> DataFrame:
+    """The records with ``label_words``, ``other_words`` and, of those without a label, ``described_words``; every text is cut once."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            label = frame["label"].map(lambda t: words(t) if t else None)
+            other = frame["other"].map(lambda t: words(t) if t else None)
+            described = [words(t) if t and not k else None for k, t in zip(frame["label"], frame["described"])]
+            said = [whole(k or t) for k, t in zip(frame["label"], frame["described"])]
+            yield frame[["id", "source", "code"]].assign(label_words=label, other_words=other, described_words=described, said=said)
+
+    kinds = dict(records.dtypes)
+    schema = f"id {kinds['id']}, source {kinds['source']}, code {kinds['code']}, label_words array<string>, other_words array<string>, described_words array<string>, said string"
+    return records.select("id", "source", "code", "label", "other", "described").mapInPandas(run, schema)
+
+
 def _flush(kind: Counter, columns: list[str]) -> pd.DataFrame:
     return pd.DataFrame([(*(k if isinstance(k, tuple) else (k,)), v) for k, v in kind.items()], columns=columns)
 
@@ -81,14 +108,12 @@ def _flush(kind: Counter, columns: list[str]) -> pd.DataFrame:
 def _singles(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     seen: Counter = Counter()
     for frame in frames:
-        for label, other in zip(frame["label"], frame["other"]):
-            if not label:
+        for ws, other in zip(frame["label_words"], frame["other_words"]):
+            if ws is None:
                 continue
-            ws = words(label)
             seen.update(("word", w) for w in set(ws) if w not in ("|", "."))
-            seen["records", ""] += 1
-            if other:
-                a, b = phrases(ws), phrases(words(other))
+            if other is not None and len(other):
+                a, b = phrases(ws), phrases(other)
                 seen["told", ""] += 1
                 seen.update(("label", p) for p in a - b)
                 seen.update(("other", p) for p in b - a)
@@ -133,38 +158,46 @@ def prune(links: dict[tuple[str, str], float], bonus: float = 1.1, firm: list[tu
         kept = left
 
 
+def special(link: tuple[str, str], seen: dict[tuple[str, str], int], times: float = 3.0) -> bool:
+    """Whether parts of both ends are linked too, and ``times`` as often: the link is a case of that one."""
+    parts = [[" ".join(ws[i:j]) for i in range(len(ws)) for j in range(i + 1, len(ws) + 1)] for ws in (end.split() for end in link)]
+    return any((a, b) != link and seen.get((min(a, b), max(a, b)), 0) >= times * seen[link] for a in parts[0] for b in parts[1])
+
+
 def coherent(phrase: str, n: dict[str, int], least: float = 0.2) -> bool:
     """Whether the parts of a phrase are seen together often against how often they are seen at all."""
     ws = phrase.split()
     return all(n[phrase] >= least * math.sqrt(n.get(" ".join(ws[:k]), 1) * n.get(" ".join(ws[k:]), 1)) for k in range(1, len(ws)))
 
 
-def learn(records: DataFrame, share: float = 0.0018, least: int = 4, score: float = 0.2, support: int = 20) -> tuple[dict[str, str], set[str]]:
-    """(phrase -> attribute, frequent words) from (label, other) of all records.
+def learn(records: DataFrame, support: int = 8, score: float = 0.2, lift: float = 2.0, mutual: float = 0.1) -> tuple[dict[str, str], set[str]]:
+    """(phrase -> attribute, known words) from the texts of all ``tokenised`` records.
 
-    Phrases that ``share`` of the records have are linked first.  Rarer ones need ``support`` records, whatever the
-    number of all records, and parts that belong together; they add links where those of the first don't explain them.
+    Phrases need ``support`` records, whatever the number of all records.  A link needs ``score``, to be seen ``lift``
+    times as often as by chance and in a share of ``mutual`` of the records of either end, and no more general link that
+    is seen three times as often.  Links that stay above the score by two standard errors come first; the others need
+    phrases whose parts belong together, and add what the first don't explain.
     """
-    counts = records.select("label", "other").mapInPandas(_singles, "kind string, phrase string, n long").groupBy("kind", "phrase").agg(F.sum("n").alias("n"))
-    counts = Scratch(records.sparkSession, "phrases").cut(counts)
-    total = {r["kind"]: r["n"] for r in counts.where("phrase = ''").collect()}
-    base = share * total.get("told", 0)
-    common = max(least, base + math.sqrt(base))
-    floor = min(common, max(least, support))
-    alone: dict[str, dict[str, int]] = defaultdict(dict)
-    for r in counts.where((F.col("phrase") != "") & F.col("kind").isin("label", "other") & (F.col("n") >= floor)).toLocalIterator():
-        alone[r["kind"]][r["phrase"]] = r["n"]
-    alone = {kind: {p: n for p, n in seen.items() if n >= common or coherent(p, seen)} for kind, seen in alone.items()}
-    word_floor = max(least, min(support, 0.0015 * total.get("records", 0)))
-    frequent = {r["phrase"]: r["n"] for r in counts.where((F.col("kind") == "word") & (F.col("n") >= word_floor)).toLocalIterator()}
-    left, right = frozenset(alone.get("label", ())), frozenset(alone.get("other", ()))
+    counts = records.select("label_words", "other_words").mapInPandas(_singles, "kind string, phrase string, n long").groupBy("kind", "phrase").agg(F.sum("n").alias("n"))
+    counts = Scratch(records.sparkSession, "phrases").cut(counts.where((F.col("n") >= support) | (F.col("phrase") == "")))
+    told, frequent = 0, {}
+    alone: dict[str, dict[str, int]] = {"label": {}, "other": {}}
+    for r in counts.toLocalIterator():
+        if r["kind"] == "told":
+            told = r["n"]
+        elif r["kind"] == "word":
+            frequent[r["phrase"]] = r["n"]
+        else:
+            alone[r["kind"]][r["phrase"]] = r["n"]
+    sound = {kind: {p for p in seen if coherent(p, seen)} for kind, seen in alone.items()}
+    left, right = frozenset(alone["label"]), frozenset(alone["other"])
 
     def pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter = Counter()
         for frame in frames:
-            for label, other in zip(frame["label"], frame["other"]):
-                if label and other:
-                    a, b = phrases(words(label)), phrases(words(other))
+            for label, other in zip(frame["label_words"], frame["other_words"]):
+                if label is not None and other is not None:
+                    a, b = phrases(label), phrases(other)
                     x, y = (a - b) & left, (b - a) & right
                     seen.update((p, q) for p in x for q in y)
             if len(seen) > 300_000:
@@ -172,16 +205,23 @@ def learn(records: DataFrame, share: float = 0.0018, least: int = 4, score: floa
                 seen.clear()
         yield _flush(seen, ["p", "q", "n"])
 
-    links: dict[tuple[str, str], float] = {}
+    firm: dict[tuple[str, str], float] = {}
     rare: dict[tuple[str, str], float] = {}
+    often: dict[tuple[str, str], int] = {}
     if left and right:
-        met = records.select("label", "other").mapInPandas(pairs, "p string, q string, n long").groupBy("p", "q").agg(F.sum("n").alias("n")).where(F.col("n") >= floor)
+        met = records.select("label_words", "other_words").mapInPandas(pairs, "p string, q string, n long").groupBy("p", "q").agg(F.sum("n").alias("n")).where(F.col("n") >= support)
+        sizes = counts.where("phrase <> ''")
+        met = met.join(sizes.where("kind = 'label'").select(F.col("phrase").alias("p"), F.col("n").alias("np")), "p").join(sizes.where("kind = 'other'").select(F.col("phrase").alias("q"), F.col("n").alias("nq")), "q")
+        met = met.withColumn("weight", F.col("n") / F.sqrt(F.col("np") * F.col("nq"))).where((F.col("weight") >= score) & (F.col("n") * F.lit(float(told)) >= lift * F.col("np") * F.col("nq")))
+        met = met.where(F.col("n") >= mutual * F.greatest("np", "nq"))
         for r in met.toLocalIterator():
-            weight = r["n"] / math.sqrt(alone["label"][r["p"]] * alone["other"][r["q"]])
             key = (min(r["p"], r["q"]), max(r["p"], r["q"]))
-            kind = links if r["n"] >= common else rare
-            if weight >= score and weight > kind.get(key, 0):
-                kind[key] = weight
+            sure = r["weight"] * (1 - 2 / math.sqrt(r["n"])) >= score
+            if sure or (r["p"] in sound["label"] and r["q"] in sound["other"]):
+                kind = firm if sure else rare
+                kind[key] = max(kind.get(key, 0.0), r["weight"])
+                often[key] = max(often.get(key, 0), r["n"])
+    firm, rare = ({k: w for k, w in kind.items() if not special(k, often)} for kind in (firm, rare))
     parent: dict[str, str] = {}
 
     def top(x: str) -> str:
@@ -189,7 +229,7 @@ def learn(records: DataFrame, share: float = 0.0018, least: int = 4, score: floa
             x = parent[x]
         return x
 
-    for p, q in prune({k: w for k, w in rare.items() if k not in links}, firm=prune(links)):
+    for p, q in prune({k: w for k, w in rare.items() if k not in firm}, firm=prune(firm)):
         a, b = sorted((top(p), top(q)))
         parent[b] = a
     return {p: top(p) for p in parent}, _sure(frequent)
@@ -221,7 +261,7 @@ class Reader:
     def __init__(self, attribute: dict[str, str], frequent: set[str]):
         self.attribute = attribute
         self.parts = {w for p in attribute for w in p.split()}
-        self.known = self.parts | frequent | JOINERS | LOOSE
+        self.known = self.parts | frequent | JOINERS
         self.index: dict[str, set[str]] = defaultdict(set)
         for w in self.known:
             if len(w) > 3:
@@ -247,8 +287,8 @@ class Reader:
             self.memo[word] = None if tie else best
         return self.memo[word]
 
-    def spelled(self, text: str | None) -> list[str]:
-        raw = [w for w in words(text) if w not in ("|", ".")]
+    def spelled(self, said: list[str]) -> list[str]:
+        raw = [w for w in said if w not in ("|", ".")]
         out: list[str] = []
         i = 0
         while i < len(raw):
@@ -272,9 +312,9 @@ class Reader:
             i += 1
         return out
 
-    def read(self, text: str | None) -> tuple[list[str], list[str]]:
+    def read(self, said: list[str]) -> tuple[list[str], list[str]]:
         """(attributes in order, words left over)."""
-        ws = self.spelled(text)
+        ws = self.spelled(said)
         found: list[str] = []
         left: list[str] = []
         i = 0
@@ -287,7 +327,7 @@ class Reader:
                     break
             else:
                 w = ws[i]
-                if w not in JOINERS and w not in LOOSE:
+                if w not in JOINERS:
                     (left if w in self.parts or w not in self.known else found).append(w)
                 i += 1
         return list(dict.fromkeys(found)), left
@@ -300,32 +340,114 @@ def whole(text: str | None) -> str:
 
 
 def attributes(records: DataFrame, reader: Reader) -> DataFrame:
-    """The records with ``have`` (sorted attributes) and ``left`` (words left over, as one text).
+    """(id, source, code, labelled, have, left): attributes and words left over, as one text, of ``tokenised`` records.
 
-    Records without a label get all attributes of their whole description, in the order they are named, and have no
-    words left over.
+    ``have`` is sorted.  Records without a label get all attributes of their whole description, in the order they are
+    named, and have no words left over.
     """
-    schema = f"{', '.join(f'`{n}` {t}' for n, t in records.dtypes)}, have array<string>, left string"
+    kinds = dict(records.dtypes)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            have, left = [], []
-            for label, text in zip(frame["label"], frame["described"]):
-                if label and label.strip():
-                    found, rest = reader.read(label)
-                    have.append(sorted(found))
-                else:
-                    found, rest = reader.read(text)[0], []
-                    have.append(found)
-                left.append(" ".join(rest) if found or rest else whole(label if label and label.strip() else text))
-            yield frame.assign(have=have, left=left)
-
-    return records.mapInPandas(run, schema)
-
-
-def _alike(a: pd.Series, b: pd.Series) -> pd.Series:
-    """1 for equal texts, falling with their edit distance."""
-    return pd.Series([1 - osa(x, y, max(len(x), len(y))) / max(len(x), len(y), 1) for x, y in zip(a, b)])
+            have, left, labelled = [], [], []
+            for label, described, said in zip(frame["label_words"], frame["described_words"], frame["said"]):
+                labelled.append(label is not None)
+                found, rest = reader.read(list(label if label is not None else described))
+                have.append(sorted(found) if label is not None else found)
+                rest = rest if label is not None else []
+                left.append(" ".join(rest) if found or rest else said)
+            yield frame[["id", "source", "code"]].assign(labelled=labelled, have=have, left=left)
+
+    return records.mapInPandas(run, f"id {kinds['id']}, source {kinds['source']}, code {kinds['code']}, labelled boolean, have array<string>, left string")
+
+
+def without_decoration(read: DataFrame, scratch: Scratch, least: float = 0.5, support: int = 8) -> DataFrame:
+    """The records without words that decorate: of the labels that have one, a share of ``least`` is there without it too."""
+    rest = F.filter(F.split("left", " "), lambda w: w != "")
+    labels = read.where("labelled").select(F.array_sort(F.array_distinct(F.concat("have", rest))).alias("all")).distinct().where("size(all) > 1")
+    labels = scratch.cut(labels.withColumn("key", F.array_join("all", "|")))
+    holes = labels.select(F.explode("all").alias("x"), "all").select("x", F.array_join(F.array_remove("all", F.col("x")), "|").alias("key"))
+    found = holes.join(labels.select("key", F.lit(1).alias("there")), "key", "left").groupBy("x").agg(F.avg(F.coalesce("there", F.lit(0))).alias("share"), F.count("*").alias("n"))
+    loose = found.where((F.col("share") >= least) & (F.col("n") >= support)).agg(F.collect_set("x").alias("loose"))
+    kept = read.crossJoin(F.broadcast(loose))  # one row, no longer than the list of known words
+    bared = F.array_join(F.array_except(rest, "loose"), " ")
+    return kept.withColumns({"have": F.array_except("have", "loose"), "left": F.when(F.col("labelled") & ((F.size("have") > 0) | (bared != "")), bared).otherwise(F.col("left"))}).drop("loose")
+
+
+def _nearest(left: pd.Series, forms: pd.Series) -> pd.Series:
+    """How alike the run of words most like one of the forms is to it: 1 for equal texts, falling with their edit distance."""
+
+    def one(text: str, known) -> float:
+        ws = text.split()
+        best = 0.0
+        for i in range(len(ws)):
+            for j in range(i + 1, min(len(ws), i + MOST_WORDS) + 1):
+                run = " ".join(ws[i:j])
+                for form in known:
+                    size = max(len(run), len(form))
+                    if size and 1 - abs(len(run) - len(form)) / size > best:
+                        best = max(best, 1 - osa(run, form, size) / size)
+        return best
+
+    return pd.Series([one(a, b) for a, b in zip(left, forms)])
+
+
+def _rarity(attrs: str) -> F.Column:
+    """Summed rarity of an array of attributes, by the map ``idf`` of the row."""
+    return F.aggregate(attrs, F.lit(0.0), lambda t, x: t + F.coalesce(F.try_element_at("idf", x), F.lit(0.0)))
+
+
+def candidates(classes: DataFrame, nodes: DataFrame, seen: DataFrame) -> DataFrame:
+    """(class, left, node, missing, weight): the pruned candidate graph of classes with words left over and nodes.
+
+    ``classes`` has class, have and left, ``nodes`` node and all, ``seen`` attribute and idf.  Both sides carry the rarity
+    of their own attributes; an edge's weight is shared rarity over that of the union, words left over counting as much
+    as what is missing.
+    """
+    def weighed(df: DataFrame, key: str, attrs: str) -> DataFrame:
+        each = df.select(key, F.explode(attrs).alias("x")).join(seen, F.col("x") == F.col("attribute")).groupBy(key)
+        return df.join(each.agg(F.map_from_entries(F.collect_list(F.struct("x", "idf"))).alias("idf"), F.array_sort(F.collect_list(F.struct(-F.col("idf"), "x"))).alias("rank")), key)
+
+    pair = lambda a, b: F.concat_ws("|", F.least(a, b), F.greatest(a, b))
+    rare = F.transform("rank", lambda r: r["x"])
+    # a class of one attribute meets the nodes of two that have it
+    key = F.when(F.size("rank") > 1, pair(F.get(rare, F.lit(0)), F.get(rare, F.lit(1)))).otherwise(F.get(rare, F.lit(0)))
+    asked = weighed(classes, "class", "have").withColumn("key", key).select("class", "have", "left", "key")
+    combos = F.flatten(F.transform("all", lambda x, i: F.transform(F.slice("all", i + 2, F.size("all")), lambda y: pair(x, y))))
+    offered = weighed(nodes, "node", "all").withColumn("total", _rarity("all")).withColumn("key", F.explode(F.when(F.size("all") <= 2, F.concat(combos, "all")).otherwise(combos)))
+    met = offered.join(asked, "key").where(F.size(F.array_except("have", "all")) == 0).select("class", "left", "node", "total", "idf", F.array_except("all", "have").alias("missing"))
+    edges = met.withColumn("weight", 1 - _rarity("missing") / F.col("total")).drop("idf")
+    # every missing attribute must stand against words of its own
+    edges = edges.where((F.size("missing") > 0) & (F.size("missing") <= F.size(F.split("left", " "))))
+    top = edges.groupBy("class").agg(F.max("weight").alias("top"))
+    return edges.join(top, "class").where(F.col("weight") >= F.col("top") / 2).drop("top", "total")
+
+
+def propagate(edges: DataFrame, forms: DataFrame, seen: DataFrame, scratch: Scratch, near: float, enough: float, several: int = 4, agreed: float = 0.9) -> DataFrame:
+    """(class, node, similarity) of the classes that go to a node: similarities of neighbours are passed on until nothing changes."""
+    alike = F.pandas_udf(_nearest, "double")
+    spelled = forms.groupBy("attribute").agg(F.collect_set("form").alias("forms"))
+    stands = edges.select("left", F.explode("missing").alias("attribute")).distinct().join(spelled, "attribute", "left")
+    stands = scratch.cut(stands.withColumn("alike", alike("left", F.coalesce("forms", F.array("attribute")))).select("left", "attribute", "alike"))
+    each = edges.select("class", "left", "node", "weight", F.size("missing").alias("gaps"), F.explode("missing").alias("attribute")).join(seen, "attribute")
+    open_edges, found = scratch.cut(each), None
+    while True:
+        # how many classes with these words left over could lack nothing but this attribute
+        classes = open_edges.where("gaps = 1").groupBy("left").agg(F.count_distinct("class").alias("all"))
+        lacking = open_edges.where("gaps = 1").groupBy("left", "attribute").agg(F.count_distinct("class").alias("n")).join(classes, "left")
+        best = lacking.groupBy("left").agg(F.max_by("attribute", "n").alias("attribute"), F.max("n").alias("n"), F.max("all").alias("all"), F.count_if(F.col("n") >= agreed * F.col("all")).alias("rivals"))
+        told = best.where((F.col("all") >= several) & (F.col("n") >= agreed * F.col("all")) & (F.col("rivals") == 1)).select("left", "attribute", (F.lit(near) * F.col("n") / F.col("all")).alias("told"))
+        judged = open_edges.join(stands, ["left", "attribute"]).join(told, ["left", "attribute"], "left").withColumn("like", F.greatest("alike", F.coalesce("told", F.lit(0.0))))
+        fill = F.sum(F.col("like") * F.col("idf")) / F.sum("idf")  # how much of what is missing is there after all
+        sims = judged.groupBy("class", "node").agg((F.first("weight") + (1 - F.first("weight")) * fill).alias("similarity"), F.min("like").alias("least"))
+        sure = sims.where((F.col("similarity") >= enough) & (F.col("least") >= near * agreed))
+        new = scratch.cut(sure.groupBy("class").agg(F.max_by(F.struct("node", "similarity"), F.struct("similarity", "node")).alias("b")).select("class", "b.node", "b.similarity"))
+        if new.isEmpty():
+            return new if found is None else found
+        found = new if found is None else found.unionByName(new)
+        rest = scratch.cut(open_edges.join(new.select("class"), "class", "left_anti"))
+        scratch.drop(open_edges)
+        open_edges = rest
 
 
 def named(described: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -354,53 +476,58 @@ def named(described: DataFrame, nodes: DataFrame) -> DataFrame:
     return best.join(narrower, "id", "left_anti").join(swap, "id", "left").select("id", F.coalesce("own", "node").alias("node"))
 
 
-def link(records: DataFrame, near: float = 0.7, share: float = 0.0018) -> DataFrame:
-    """(id, source, code, node, closeness): what every record describes; records of one ``node`` describe the same.
+def link(records: DataFrame, near: float = 0.7, enough: float = 0.85, support: int = 8) -> DataFrame:
+    """(id, source, code, node, closeness, rarity): what every record describes; records of one ``node`` describe the same.
 
-    ``records`` has id, source, label, described (its description), other (all its other text) and code.
+    ``records`` has id, source, label, described (its description), other (all its other text) and code.  ``closeness``
+    is the similarity of a record to its node, ``rarity`` one over one plus the number of records that would have all
+    attributes of the node by chance.
     """
     spark = records.sparkSession
     scratch = Scratch(spark, "entities")
     told = records.select("id", "source", "label", "described", "other", "code").where("id is not null and source is not null")
     told = told.withColumns({c: F.when(bare(c) != "", F.col(c)) for c in ("label", "described")})
-    once = spread(scratch.cut(told.dropDuplicates(["id"])))
-    attribute, frequent = learn(once, share=share)
+    once = scratch.cut(tokenised(spread(told.dropDuplicates(["id"]))))
+    attribute, frequent = learn(once, support)
     reader = Reader(attribute, frequent)
-    labelled = once.where("label is not null").select("id", "source", "code", "label", "described")
-    sized = scratch.cut(attributes(labelled, reader))
-    unlabelled = scratch.cut(attributes(once.where("label is null and described is not null").select("id", "source", "code", "label", "described"), reader))
-    read = sized.where("size(have) > 0 or left <> ''").select("id", "source", "code", "have", "left")
-    placed = read.where("left = ''").select("id", "source", "code", F.array_join("have", "|").alias("node"), F.lit(1.0).alias("closeness"))
-    astray = read.where("left <> '' and size(have) > 0")
-    nameless = read.unionByName(unlabelled.select(*read.columns)).where("left <> '' and size(have) = 0")
-    forms = spark.createDataFrame([(a, p) for p, a in attribute.items()] or [("", "")], "missing string, form string")
-    alike = F.pandas_udf(_alike, "double")
-    while True:
-        # every known node without one of its attributes, met by the records that have just the rest
-        nodes = placed.select("node").distinct()
-        holes = nodes.select("node", F.split("node", "\\|").alias("all")).select("node", "all", F.explode("all").alias("missing"))
-        holes = holes.select("node", "missing", F.array_join(F.array_remove("all", F.col("missing")), "|").alias("rest"))
-        met = astray.withColumn("rest", F.array_join("have", "|")).join(holes, "rest").join(forms, "missing", "left")
-        drawn = met.withColumn("closeness", alike("left", F.coalesce("form", "missing"))).where(F.col("closeness") >= near)
-        best = drawn.groupBy("id").agg(F.max_by(F.struct("source", "code", "node", "closeness"), F.struct("closeness", "node")).alias("b"), F.count_distinct("missing").alias("ways"))
-        new = scratch.cut(best.select("id", "b.source", "b.code", "b.node", F.round("b.closeness", 4).alias("closeness")))
-        if new.isEmpty():
-            break
-        placed = placed.unionByName(new)
-        astray = scratch.cut(astray.join(new.select("id"), "id", "left_anti"))
-    about = unlabelled.where("size(have) > 0")
-    chosen = about.join(named(about, placed.select("node").distinct()), "id", "left")
-    placed = placed.unionByName(chosen.select("id", "source", "code", F.coalesce("node", F.array_join(F.array_sort("have"), "|")).alias("node"), F.lit(1.0).alias("closeness")))
-    told = F.concat(F.lit("~"), F.array_join(F.array_sort(F.array_distinct(F.split("left", " "))), " "))
-    lone = astray.unionByName(nameless).select("id", "source", "code", F.concat_ws("|", F.when(F.size("have") > 0, F.array_join("have", "|")), told).alias("node"), F.lit(1.0).alias("closeness"))
-    return placed.unionByName(lone)
+    raw = scratch.cut(attributes(once.where("label_words is not null or described_words is not null"), reader))
+    read = scratch.cut(without_decoration(raw, scratch, support=support).where("size(have) > 0 or left <> ''"))
+    labelled = read.where("labelled")
+    whole_ones = labelled.where("left = ''").select("id", "source", "code", F.array_join("have", "|").alias("node"), F.lit(1.0).alias("closeness"))
+    nodes = scratch.cut(whole_ones.select("node").distinct().withColumn("all", F.split("node", "\\|")))
+    total = labelled.agg(F.count("*").alias("total"))
+    seen = labelled.select(F.explode("have").alias("attribute")).groupBy("attribute").agg(F.count("*").alias("n")).crossJoin(total)  # one row
+    seen = scratch.cut(seen.select("attribute", F.log(1 + F.col("total") / F.col("n")).alias("idf"), "n", "total"))
+    astray = labelled.where("left <> '' and size(have) > 0").withColumn("class", F.concat_ws("~", F.array_join("have", "|"), "left"))
+    classes = astray.groupBy("class").agg(F.first("have").alias("have"), F.first("left").alias("left"))
+    forms = spark.createDataFrame([(a, p) for p, a in attribute.items()] or [("", "")], "attribute string, form string")
+    edges = scratch.cut(candidates(classes, nodes, seen.select("attribute", "idf")))
+    placed = propagate(edges, forms, seen.select("attribute", "idf"), scratch, near, enough)
+    drawn = astray.join(placed, "class").select("id", "source", "code", "node", F.round("similarity", 4).alias("closeness"))
+    about = read.where("not labelled and size(have) > 0")
+    chosen = about.join(named(about, nodes.select("node")), "id", "left").select("id", "source", "code", F.coalesce("node", F.array_join(F.array_sort("have"), "|")).alias("node"), F.lit(1.0).alias("closeness"))
+    lost = astray.join(placed.select("class"), "class", "left_anti").select("id", "source", "code", "have", "left")
+    lost = lost.unionByName(read.where("left <> '' and size(have) = 0").select(*lost.columns))
+    said = F.concat(F.lit("~"), F.array_join(F.array_sort(F.array_distinct(F.split("left", " "))), " "))
+    lone = lost.select("id", "source", "code", F.concat_ws("|", F.when(F.size("have") > 0, F.array_join("have", "|")), said).alias("node"), F.lit(1.0).alias("closeness"))
+    found = scratch.cut(whole_ones.unionByName(drawn).unionByName(chosen).unionByName(lone))
+    chance = found.select("node").distinct().select("node", F.explode(F.split("node", "\\|")).alias("attribute")).join(seen, "attribute", "left")
+    chance = chance.groupBy("node").agg((F.coalesce(F.max("total"), F.lit(0)) * F.exp(F.sum(F.coalesce(F.log(F.col("n") / F.col("total")), F.lit(-20.0))))).alias("by_chance"))
+    return found.join(chance, "node").select("id", "source", "code", "node", "closeness", F.round(1 / (1 + F.col("by_chance")), 4).alias("rarity"))
+
+
+def classes_of(linked: DataFrame) -> DataFrame:
+    """(entity_id, class_id, links): one row per record with the smallest id of its class and the number of records of other sources in it."""
+    sizes = linked.groupBy("node").agg(F.min("id").alias("class_id"), F.count("*").alias("all"))
+    own = linked.groupBy("node", "source").agg(F.count("*").alias("own"))
+    return linked.join(sizes, "node").join(own, ["node", "source"]).select(F.col("id").alias("entity_id"), "class_id", (F.col("all") - F.col("own")).alias("links"))
 
 
 def matched_pairs(linked: DataFrame) -> DataFrame:
     """(entity_id_a, entity_id_b, confidence): records of different sources at one node, smaller id first.
 
-    The confidence is the closeness of both records to the node, a little less where their codes, shortened to three
-    digits, disagree.
+    The confidence is the closeness of both records to the node times the node's rarity, a little less where their codes,
+    shortened to three digits, disagree.
     """
     digits = F.substring(F.regexp_replace(F.coalesce("code", F.lit("")), "[^0-9]", ""), 1, 3)
     rows = linked.withColumn("code", digits)
@@ -408,4 +535,4 @@ def matched_pairs(linked: DataFrame) -> DataFrame:
     met = a.join(b, (F.col("a.node") == F.col("b.node")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.source") != F.col("b.source")))
     known = (F.length("a.code") == 3) & (F.length("b.code") == 3)
     agree = F.when(~known, 0.95).when(F.col("a.code") == F.col("b.code"), 1.0).otherwise(0.9)
-    return met.select(F.col("a.id").alias("entity_id_a"), F.col("b.id").alias("entity_id_b"), F.round(F.col("a.closeness") * F.col("b.closeness") * agree, 4).alias("confidence"))
+    return met.select(F.col("a.id").alias("entity_id_a"), F.col("b.id").alias("entity_id_b"), F.round(F.col("a.closeness") * F.col("b.closeness") * F.col("a.rarity") * agree, 4).alias("confidence"))

@@ -118,20 +118,25 @@ def p5_unmatched(spark: SparkSession, d: str) -> DataFrame:
 QUERIES |= {f.__name__: f for f in (p5_found, p5_unmatched)}
 
 
-def _same_things(spark: SparkSession, d: str) -> DataFrame:
+def _linked(spark: SparkSession, d: str) -> list[tuple[str, DataFrame]]:
     occupations = load(spark, d, "occupations").where("coalesce(occupation_type, '') <> 'isco_group'")
     skills = load(spark, d, "skills").where("coalesce(source, '') <> 'TAXONOMY'")
-    found = None
+    found = []
     for kind, rows, code in (("occupation", occupations, F.col("isco_code")), ("skill", skills, F.lit(None).cast("string"))):
         records = rows.select(
             F.col("entity_id").alias("id"), "source", F.col("pref_label_en").alias("label"), F.col("description_en").alias("described"),
             F.concat_ws(" | ", "description_en", "alt_labels_en").alias("other"), code.alias("code"),
         )
-        part = entities.matched_pairs(entities.link(records)).select(F.lit(kind).alias("entity_kind"), "entity_id_a", "entity_id_b", "confidence")
-        found = part if found is None else found.unionByName(part)
+        found.append((kind, entities.link(records)))
     return found
 
 
+def _same_things(spark: SparkSession, d: str) -> DataFrame:
+    (a, jobs), (b, skills) = [(kind, entities.matched_pairs(linked)) for kind, linked in _linked(spark, d)]
+    columns = ["entity_kind", "entity_id_a", "entity_id_b", "confidence"]
+    return jobs.withColumn("entity_kind", F.lit(a)).select(*columns).unionByName(skills.withColumn("entity_kind", F.lit(b)).select(*columns))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return _same_things(spark, d).select("entity_kind", "entity_id_a", "entity_id_b").distinct()
 
@@ -141,4 +146,10 @@ def p7_confidence(spark: SparkSession, d: str) -> DataFrame:
     return _same_things(spark, d)
 
 
-QUERIES |= {f.__name__: f for f in (p7_found, p7_confidence)}
+def p7_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Every record with the class it belongs to and its number of links."""
+    (a, jobs), (b, skills) = [(kind, entities.classes_of(linked)) for kind, linked in _linked(spark, d)]
+    return jobs.withColumn("entity_kind", F.lit(a)).unionByName(skills.withColumn("entity_kind", F.lit(b)))
+
+
+QUERIES |= {f.__name__: f for f in (p7_found, p7_confidence, p7_classes)}

@@ -141,7 +141,7 @@ def test_entities(spark):
         truth[f"e{n:04d}"] = (a, t, w)
     data += [("z1", "S1", None, None, None, None), (None, "S1", "x", None, None, None), ("z2", None, "x", None, None, None), ("z3", "S2", "", None, "", None), data[0]]
     df = frame(spark, data, "id string, source string, label string, described string, other string, code string").withColumn("node", F.lit("clash"))
-    got = {tuple(r) for r in entities.matched_pairs(entities.link(df, share=0.004)).select("entity_id_a", "entity_id_b").collect()}
+    got = {tuple(r) for r in entities.matched_pairs(entities.link(df)).select("entity_id_a", "entity_id_b").collect()}
     source = {d[0]: d[1] for d in data}
     want = {(a, b) for a in truth for b in truth if a < b and truth[a] == truth[b] and source[a] != source[b]}
     assert len(got & want) / len(want) > 0.95 and len(got & want) / len(got) > 0.99
@@ -159,11 +159,61 @@ def test_records_of_rare_words_stay(spark):
 def test_rare_synonyms_are_learnt_whatever_the_rest(spark):
     many = [(f"audit number{n % 7}", f"audit number{n % 7}") for n in range(40000)]
     few = [(f"{'steer' if n % 2 else 'pilot'} kite{n % 3}", f"{'pilot' if n % 2 else 'steer'} kite{n % 3}") for n in range(60)]
-    attribute, frequent = entities.learn(frame(spark, many + few, "label string, other string"))
+    told = frame(spark, many + few, "label string, other string").selectExpr("'x' id", "'s' source", "null code", "label", "other", "null described")
+    attribute, frequent = entities.learn(entities.tokenised(told))
     assert attribute["steer"] == attribute["pilot"] and "kite1" in frequent
     assert entities._sure({"bofutak": 900, "bo": 30, "futak": 28, "data": 500, "base": 400, "database": 900}) == {"bofutak", "data", "base", "database"}
 
 
+def test_entities_in_other_frames(spark):
+    """Nothing is bound to the wording around the attributes."""
+    rng = random.Random(11)
+    roles, places, crafts = [("baker", "bread maker"), ("guide", "tour leader"), ("tailor", "clothes maker")], [("harbour", "docks"), ("market", "trade square"), ("castle", "old fortress")], ["violet", "amber", "indigo", "crimson", "teal"]
+    data, truth = [], {}
+    for n in range(900):
+        r, p, c = rng.randrange(3), rng.randrange(3), rng.choice(crafts)
+        role, place = rng.choice(roles[r]), rng.choice(places[p])
+        label = rng.choice([f"{c}: {role} at the {place}", f"{role}, {place}, {c}", f"{place}: {role} in {c}"])
+        told = f"Hired since spring. Folks call this a {rng.choice(roles[r])}; daily walks lead past the {rng.choice(places[p])}, in {c}. Lunch provided."
+        data.append((f"e{n:04d}", f"S{n % 4}", label, None, told, None))
+        truth[f"e{n:04d}"] = (r, p, c)
+    df = frame(spark, data, "id string, source string, label string, described string, other string, code string")
+    linked = entities.link(df).cache()
+    got = {tuple(r) for r in entities.matched_pairs(linked).select("entity_id_a", "entity_id_b").collect()}
+    source = {d[0]: d[1] for d in data}
+    want = {(a, b) for a in truth for b in truth if a < b and truth[a] == truth[b] and source[a] != source[b]}
+    assert len(got & want) / len(want) > 0.95 and len(got & want) / len(got) > 0.99
+    classes = {r["entity_id"]: (r["class_id"], r["links"]) for r in entities.classes_of(linked).collect()}
+    assert set(classes) == set(truth) and sum(n for _, n in classes.values()) == 2 * len(got)
+    assert all(classes[a][0] == classes[b][0] for a, b in got)
+
+
+def test_candidate_graph(spark):
+    nodes = frame(spark, [("a|b|c", ["a", "b", "c"]), ("a|b|d", ["a", "b", "d"]), ("a|b|c|e", ["a", "b", "c", "e"]), ("x|y", ["x", "y"])], "node string, all array<string>")
+    seen = frame(spark, [(w, 2.0) for w in "abcdexy"] + [("z", 9.0)], "attribute string, idf double")
+    classes = frame(spark, [("1", ["a", "b"], "cc"), ("2", ["a", "b"], "cc ee"), ("3", ["x"], "yy"), ("4", ["z"], "a")], "class string, have array<string>, left string")
+    edges = entities.candidates(classes, nodes, seen)
+    got = sorted((r["class"], r["node"], tuple(r["missing"]), round(r["weight"], 3)) for r in edges.collect())
+    assert got == [("1", "a|b|c", ("c",), 0.667), ("1", "a|b|d", ("d",), 0.667), ("2", "a|b|c", ("c",), 0.667), ("2", "a|b|c|e", ("c", "e"), 0.5), ("2", "a|b|d", ("d",), 0.667), ("3", "x|y", ("y",), 0.5)]
+
+
+def test_neighbours_tell_what_a_word_stands_for(spark):
+    """A word unlike any attribute, left over in several classes that all lack the same one; a word like an attribute needs no neighbour."""
+    edges = [(f"c{n}", "zap", f"n{n}", ["tool"], 0.8) for n in range(5)] + [("c0", "zap", "m0", ["other"], 0.8), ("d", "toool", "n9", ["tool"], 0.8), ("e", "lone", "n9", ["tool"], 0.8), ("f", "toool mane", "n8", ["tool", "name"], 0.5)]
+    seen = frame(spark, [("tool", 2.0), ("other", 2.0), ("name", 2.0)], "attribute string, idf double")
+    forms = frame(spark, [("tool", "tool"), ("name", "name")], "attribute string, form string")
+    df = frame(spark, edges, "class string, left string, node string, missing array<string>, weight double")
+    got = {r["class"]: r["node"] for r in entities.propagate(df, forms, seen, entities.Scratch(spark, "t"), 0.7, 0.85).collect()}
+    assert got == {f"c{n}": f"n{n}" for n in range(5)} | {"d": "n9"}
+    assert entities.propagate(df.limit(0), forms, seen, entities.Scratch(spark, "t"), 0.7, 0.85).count() == 0
+
+
+def test_decoration_goes(spark):
+    data = [(f"e{n:04d}", f"S{n % 3}", f"audit {['forms', 'queues'][n // 2 % 2]} with Tool{'abcde'[n // 4 % 5]}x{' deluxe' if n % 2 else ''}", None, None, None) for n in range(600)]
+    df = frame(spark, data, "id string, source string, label string, described string, other string, code string")
+    assert entities.link(df).select("node").distinct().count() == 10
+
+
 def test_whole_descriptions_are_read(spark):
     acts, things, tools = ["audit", "repair", "index"], ["webforms", "antennas", "queues", "sensors"], ["Kaninos", "Bugeron", "Vesikax", "Mobazex", "Tutidik"]
     data = [(f"e{n:04d}", f"S{n % 3}", f"{acts[n % 3]} {things[n // 3 % 4]} with {tools[n // 12 % 5]}", None, None, None) for n in range(600)]
