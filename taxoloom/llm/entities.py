@@ -158,6 +158,21 @@ def prune(links: dict[tuple[str, str], float], bonus: float = 1.1, firm: list[tu
         kept = left
 
 
+def spelled_alike(a: str, b: str, phrases_known: frozenset[str] | set[str] = frozenset()) -> bool:
+    """Whether two phrases are one but for edits, blanks and hyphens, or one is a word and the other a piece of it that is written apart.
+
+    All of these are matters for repair, not for a link.
+    """
+    x, y = (re.sub("[ -]", "", t) for t in (a, b))
+    if x == y:
+        return True
+    short, long = sorted((x, y), key=len)
+    if long.startswith(short) and f"{short} {long[len(short):]}" in phrases_known or long.endswith(short) and f"{long[:-len(short)]} {short}" in phrases_known:
+        return True
+    ws, vs = a.split(), b.split()
+    return len(ws) == len(vs) and all(osa(w, v, min(reach(w), reach(v))) <= min(reach(w), reach(v)) for w, v in zip(ws, vs))
+
+
 def special(link: tuple[str, str], seen: dict[tuple[str, str], int], times: float = 3.0) -> bool:
     """Whether parts of both ends are linked too, and ``times`` as often: the link is a case of that one."""
     parts = [[" ".join(ws[i:j]) for i in range(len(ws)) for j in range(i + 1, len(ws) + 1)] for ws in (end.split() for end in link)]
@@ -190,7 +205,8 @@ def learn(records: DataFrame, support: int = 8, score: float = 0.2, lift: float
         else:
             alone[r["kind"]][r["phrase"]] = r["n"]
     sound = {kind: {p for p in seen if coherent(p, seen)} for kind, seen in alone.items()}
-    left, right = frozenset(alone["label"]), frozenset(alone["other"])
+    # a name that labels never use could not tell two of them to be one
+    left, right = frozenset(alone["label"]), frozenset(q for q in alone["other"] if all(w in frequent for w in q.split()))
 
     def pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter = Counter()
@@ -217,6 +233,8 @@ def learn(records: DataFrame, support: int = 8, score: float = 0.2, lift: float
         for r in met.toLocalIterator():
             key = (min(r["p"], r["q"]), max(r["p"], r["q"]))
             sure = r["weight"] * (1 - 2 / math.sqrt(r["n"])) >= score
+            if spelled_alike(*key, left):
+                continue
             if sure or (r["p"] in sound["label"] and r["q"] in sound["other"]):
                 kind = firm if sure else rare
                 kind[key] = max(kind.get(key, 0.0), r["weight"])
@@ -364,10 +382,13 @@ def attributes(records: DataFrame, reader: Reader) -> DataFrame:
 def without_decoration(read: DataFrame, scratch: Scratch, least: float = 0.5, support: int = 8) -> DataFrame:
     """The records without words that decorate: of the labels that have one, a share of ``least`` is there without it too."""
     rest = F.filter(F.split("left", " "), lambda w: w != "")
-    labels = read.where("labelled").select(F.array_sort(F.array_distinct(F.concat("have", rest))).alias("all")).distinct().where("size(all) > 1")
-    labels = scratch.cut(labels.withColumn("key", F.array_join("all", "|")))
-    holes = labels.select(F.explode("all").alias("x"), "all").select("x", F.array_join(F.array_remove("all", F.col("x")), "|").alias("key"))
-    found = holes.join(labels.select("key", F.lit(1).alias("there")), "key", "left").groupBy("x").agg(F.avg(F.coalesce("there", F.lit(0))).alias("share"), F.count("*").alias("n"))
+    # labels with at most one word left over: only that word is judged there, and it is judged by labels without any
+    labels = read.where("labelled").select("have", rest.alias("rest")).where("size(rest) < 2 and size(have) + size(rest) > 1").distinct()
+    labels = scratch.cut(labels.withColumn("key", F.array_join(F.array_sort("have"), "|")))
+    holes = labels.where("size(rest) = 0").select("have", F.explode("have").alias("x")).select("x", F.array_join(F.array_sort(F.array_remove("have", F.col("x"))), "|").alias("key"))
+    holes = holes.unionByName(labels.where("size(rest) = 1").select(F.get("rest", F.lit(0)).alias("x"), "key"))
+    there = labels.where("size(rest) = 0").select("key", F.lit(1).alias("there")).distinct()
+    found = holes.join(there, "key", "left").groupBy("x").agg(F.avg(F.coalesce("there", F.lit(0))).alias("share"), F.count("*").alias("n"))
     loose = found.where((F.col("share") >= least) & (F.col("n") >= support)).agg(F.collect_set("x").alias("loose"))
     kept = read.crossJoin(F.broadcast(loose))  # one row, no longer than the list of known words
     bared = F.array_join(F.array_except(rest, "loose"), " ")
