@@ -1,14 +1,15 @@
 """One surviving record for each group of duplicate records, field by field.
 
 The fields are unpivoted to long rows.  Every row votes for its value with the trust of its most trusted source times a
-decay by age.  ``consensus`` adds up the votes per normalised value, so many rows may outvote a trusted one.
-``best_row`` compares trust first and age only between equal trust, by taking the largest single vote of a value: the
-decay lies in (1/2, 1] and trust falls by ``TRUST_STEP`` a rank, so no age outweighs a rank; the votes are compared as
-pairs, free of rounding.  Winners are taken by ``max_by`` and pivoted back to one record a group.
+decay by age; the votes are added up per normalised value, winners are taken by ``max_by`` and pivoted back to one record
+a group.  ``consensus`` lets many rows outvote a trusted one: trust falls by ``TRUST_STEP`` a rank and the decay has a
+half-life.  ``best_row`` lets the most trusted row win however many others disagree, and the latest of equal trust: a
+rank, and a tick of age, divide a vote by more than there are rows in any group (2 to the power of ``bits``).  Its votes
+are counted from the best of the group, whose vote is one, so sums never under- or overflow where it matters.
 
 A value competes only if it tells something: blanks, values without any letter or digit, stand-ins for "no value" and
-bare ids do not, and a field without any such value has no winner.  Rows without a time are the oldest.  Rows that are
-equal in trust and time are decided by the smallest row id.  Repeated rows count once.
+bare ids do not, and a field without any such value has no winner.  Rows without a time are the oldest.  Values of equal
+sums are decided by the smallest id of their best rows.  Repeated rows count once.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ def named_sources(column: str) -> Column:
 
 
 def long_votes(rows: DataFrame, trust: DataFrame, fields: tuple[str, ...], row_id: str, sources: str, built: str, half_life_days: float = 365.0) -> DataFrame:
-    """(group_id, row_id, field_name, value, norm, trust, decay, n_sources, built) of all telling values.
+    """(group_id, row_id, field_name, value, norm, rank, trust, decay, n_sources, at) of all telling values; an unranked row has no rank.
 
     ``rows`` has group_id; ``trust`` has (source, trust_rank) and is joined per named source.
     """
@@ -59,24 +60,39 @@ def long_votes(rows: DataFrame, trust: DataFrame, fields: tuple[str, ...], row_i
     age = F.unix_timestamp(F.col("at").cast("timestamp")) / 86400.0
     ranked = ranked.withColumns({"trust": F.coalesce(F.pow(F.lit(TRUST_STEP), -F.col("rank")), F.lit(0.0)), "decay": 1 / (1 + F.pow(F.lit(2.0), -age / half_life_days))})
     parts = [F.struct(F.lit(f).alias("field_name"), F.col(f"f_{f}").alias("value")) for f in fields]
-    long = ranked.select("group_id", "row_id", "at", "trust", "decay", F.size("named").alias("n_sources"), F.inline(F.array(*parts)))
+    long = ranked.select("group_id", "row_id", "at", "rank", "trust", "decay", F.size("named").alias("n_sources"), F.inline(F.array(*parts)))
     return long.where(telling(F.col("value"))).withColumn("norm", F.lower(F.regexp_replace(bare("value"), "\\s+", " ")))
 
 
+def _smaller(text: str) -> Column:
+    """Sorts texts the other way round in ``max_by``."""
+    return F.transform(F.split(text, ""), lambda ch: -F.ascii(ch))
+
+
+def tally(votes: DataFrame, vote: Column, preferred: Column) -> DataFrame:
+    """(group_id, field_name, row_id, value, votes): per field the normalised value with the largest sum of votes, as its preferred row spells it."""
+    sums = votes.withColumn("vote", vote).groupBy("group_id", "field_name", "norm").agg(F.round(F.sum("vote"), 9).alias("votes"), F.max_by(F.struct("row_id", "value"), preferred).alias("pick"))
+    return sums.groupBy("group_id", "field_name").agg(F.max_by(F.struct("pick", "votes"), F.struct(F.col("votes"), _smaller("pick.row_id"))).alias("won")).select("group_id", "field_name", "won.pick.row_id", "won.pick.value", "won.votes")
+
+
 def consensus(votes: DataFrame) -> DataFrame:
-    """(group_id, field_name, value, votes): the value with the largest sum of votes; ties go to the smaller one."""
-    sums = votes.groupBy("group_id", "field_name", "norm").agg(F.sum(F.col("trust") * F.col("decay")).alias("votes"), F.max_by("value", F.struct("trust", "at", "value")).alias("value"))
-    low = F.struct(F.col("votes"), F.transform(F.split("norm", ""), lambda ch: -F.ascii(ch)))
-    return sums.groupBy("group_id", "field_name").agg(F.max_by("value", low).alias("value"), F.max("votes").alias("votes"))
-
-
-def best_row(votes: DataFrame, by_breadth: tuple[str, ...] = ()) -> DataFrame:
-    """(group_id, field_name, row_id, value) of the largest single vote; for ``by_breadth`` the number of named sources is its trust."""
-    weight = F.when(F.col("field_name").isin(*by_breadth) if by_breadth else F.lit(False), F.col("n_sources").cast("double")).otherwise(F.col("trust"))
-    vote = votes.withColumn("vote", F.struct(weight.alias("w"), F.col("at")))
-    first = vote.groupBy("group_id", "field_name", "norm").agg(F.max("vote").alias("vote"), F.max_by(F.struct("row_id", "value"), F.struct(F.col("vote"), F.translate("row_id", "0123456789abcdef", "fedcba9876543210"))).alias("pick"))
-    rank = F.struct(F.col("vote"), F.translate("pick.row_id", "0123456789abcdef", "fedcba9876543210"))
-    return first.groupBy("group_id", "field_name").agg(F.max_by("pick", rank).alias("pick")).select("group_id", "field_name", "pick.row_id", "pick.value")
+    """(group_id, field_name, row_id, value, votes): the value with the largest sum of trust times decay."""
+    return tally(votes, F.col("trust") * F.col("decay"), F.struct("trust", "at", _smaller("row_id")))
+
+
+def best_row(votes: DataFrame, by_breadth: tuple[str, ...] = (), bits: int = 40) -> DataFrame:
+    """(group_id, field_name, row_id, value) of the largest sum, where a rank or a microsecond outweighs 2 ** ``bits`` rows.
+
+    For fields ``by_breadth`` the number of named sources takes the place of the rank.
+    """
+    broad = F.col("field_name").isin(*by_breadth) if by_breadth else F.lit(False)
+    level = F.when(broad, F.col("n_sources")).otherwise(-F.coalesce("rank", F.lit(2**31 - 1))).cast("long")
+    rated = votes.withColumns({"level": level, "tick": F.unix_micros(F.col("at").cast("timestamp"))})
+    top = rated.groupBy("group_id", "field_name").agg(F.max(F.struct("level", "tick")).alias("top"))
+    rated = rated.join(top, ["group_id", "field_name"])
+    trust = F.pow(F.lit(2.0), -bits * (F.col("top.level") - F.col("level")))
+    decay = F.pow(F.lit(2.0), -bits * F.greatest(F.col("top.tick") - F.col("tick"), F.lit(0)))
+    return tally(rated, trust * decay, F.struct("level", "tick", _smaller("row_id"))).drop("votes")
 
 
 def wide(winners: DataFrame, fields: tuple[str, ...]) -> DataFrame:
