@@ -19,13 +19,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from taxoloom.session import Scratch
+
 #: Fixed values (Unicode Technical Standard 39): letters of other scripts that print as the Latin letter beside them.
 LATIN_OF = {
     "CYRILLIC": dict(zip("АВЕКМНОРСТУХЅІЈԚԜҮЗаеорсухѕіјԛԝһӏ", "ABEKMHOPCTYXSIJQWY3aeopcyxsijqwhl")),
     "GREEK": dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧανορικγυχ", "ABEZHIKMNOPTYXavopikyux")),
+    "ARMENIAN": dict(zip("ՕՏԼօոսհցզ", "OSLonuhgq")),
 }
 _TO_LATIN = {ch: latin for table in LATIN_OF.values() for ch, latin in table.items() if latin.isalpha()}
 _FROM_LATIN = {script: {latin: ch for ch, latin in table.items()} for script, table in LATIN_OF.items()}
+#: Latin letters that print as others.
+_SAME_LATIN = {"ɑ": "a", "ɡ": "g", "ⅼ": "l"}
 _SHAPELESS = frozenset("\u00ad\u034f\u061c\u180e\u200b\u200c\u200d\u200e\u200f\u2060\u2061\u2062\u2063\u2064\ufeff\ufe0e\ufe0f")
 _HYPHENS = frozenset("\u2010\u2011\ufe63")
 
@@ -101,9 +106,10 @@ def _plain(ch: str) -> str:
     if unicodedata.category(ch) == "Zs":
         return " "
     kind = unicodedata.decomposition(ch)
-    if kind.startswith(("<wide>", "<narrow>")) or "ﬀ" <= ch <= "ﬆ":
+    # full and half width, mathematical letters, ligatures, Roman numerals
+    if kind.startswith(("<wide>", "<narrow>", "<font>")) or "ﬀ" <= ch <= "ﬆ" or "Ⅰ" <= ch <= "ⅿ":
         return unicodedata.normalize("NFKC", ch)
-    return ch
+    return _SAME_LATIN.get(ch, ch)
 
 
 def canonical(text: str | None) -> str | None:
@@ -112,8 +118,14 @@ def canonical(text: str | None) -> str | None:
         return None
     if text.isascii():
         return text.strip()
-    flat = "".join(ch if ch.isascii() else _plain(ch) for ch in unicodedata.normalize("NFD", text))
-    return unicodedata.normalize("NFC", consistent(unicodedata.normalize("NFD", flat))).strip()
+    flat = unicodedata.normalize("NFD", text)
+    odd = {ch: _plain(ch) for ch in set(flat) if not ch.isascii()}
+    changed = {ord(ch): plain for ch, plain in odd.items() if plain != ch}
+    if changed:
+        flat = flat.translate(changed)
+    if any(script(ch) not in ("", "LATIN") for plain in odd.values() for ch in plain):
+        flat = unicodedata.normalize("NFD", consistent(flat))
+    return unicodedata.normalize("NFC", flat).strip()
 
 
 @F.pandas_udf(StringType())
@@ -126,14 +138,28 @@ def canonical_text(column: str | Column) -> Column:
     return _canonical(F.col(column) if isinstance(column, str) else column)
 
 
+def forms(rows: DataFrame, row_id: str, label: str) -> DataFrame:
+    """(id, raw, form) of the records whose form has several spellings; a written table, so every label is brought to its form once."""
+    spelled = rows.select(F.col(row_id).alias("id"), F.col(label).alias("raw")).where("id is not null and raw is not null").distinct().withColumn("form", canonical_text("raw"))
+    spelled = Scratch(rows.sparkSession, "forms").cut(spelled.where("form <> ''"))
+    several = spelled.groupBy("form").agg(F.min("raw").alias("low"), F.max("raw").alias("high")).where("low <> high").select("form")
+    return spelled.join(several, "form", "left_semi")
+
+
 def alike_pairs(rows: DataFrame, row_id: str, label: str) -> DataFrame:
     """(entity_id_a, entity_id_b): different records whose labels have one form and different characters, smaller id first.
 
     Only forms with several spellings enter the join, and it pairs records of different spellings only.
     """
-    spelled = rows.select(F.col(row_id).alias("id"), F.col(label).alias("raw")).where("id is not null and raw is not null").distinct().withColumn("form", canonical_text("raw")).where("form <> ''")
-    several = spelled.groupBy("form").agg(F.min("raw").alias("low"), F.max("raw").alias("high")).where("low <> high").select("form")
-    kept = spelled.join(several, "form", "left_semi")
+    kept = forms(rows, row_id, label)
     a, b = kept.alias("a"), kept.alias("b")
     met = a.join(b, (F.col("a.form") == F.col("b.form")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.raw") != F.col("b.raw")))
     return met.select(F.col("a.id").alias("entity_id_a"), F.col("b.id").alias("entity_id_b")).distinct()
+
+
+def alike_classes(rows: DataFrame, row_id: str, label: str) -> DataFrame:
+    """(entity_id, class_id, links): one row per record and form, with the form's smallest id and how many records spell it otherwise."""
+    kept = forms(rows, row_id, label)
+    sizes = kept.groupBy("form").agg(F.min("id").alias("class_id"), F.count("*").alias("all"))
+    own = kept.groupBy("form", "raw").agg(F.count("*").alias("own"))
+    return kept.join(sizes, "form").join(own, ["form", "raw"]).select(F.col("id").alias("entity_id"), "class_id", (F.col("all") - F.col("own")).alias("links")).distinct()
