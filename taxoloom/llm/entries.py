@@ -1,4 +1,4 @@
-"""Mapping freely typed values to the entries of a reference list, by token repair and idf weights.
+"""Mapping freely typed values to the entries of a reference list, by token repair and soft TF-IDF.
 
 The reference list is read as a grid: entries that start alike (or end alike, in the second language) share a role, the
 rest of the entry is its field, and the two languages are lined up through the entries that have both.  An entry can
@@ -7,20 +7,21 @@ text is found all the same.
 
 Every distinct token typed is joined once with the vocabulary of these forms: by equality of deletion keys (all ways of
 leaving out up to two letters), after which the edit distance with swaps decides; by shortening, with or without a dot;
-as initials of a phrase.  Titles with the same set of repaired tokens are ranked once.  Entries are
-ranked by the idf of their tokens; how close the tokens are decides which a typed one may stand for, not the rank.  Only entries of which every telling token is found
-are taken: a listed role in an unlisted field, and any other text, is unmatched.
-
-Null, empty and blank values are unmatched; values of any length are read whole; repeated values are ranked once and
-come out with each of their rows.  Equal scores go to the smaller id.  An empty list matches nothing.
+as initials of a phrase.  A title meets the spellings whose rarest token it may stand for, so common tokens make no
+candidates.  Spellings are ranked by soft TF-IDF: the cosine of the idf weights, every product times the closeness of the
+typed token to the listed one.  An exact check follows: a spelling counts only if each of its telling tokens is found, so
+a listed role in an unlisted field, and any other text, is unmatched.
+
+All of this is done in joins; nothing of the list or of the titles passes through the driver.  Null, empty and blank
+values are unmatched; values of any length are read whole; repeated values are ranked once and come out with each of
+their rows.  Equal scores go to the smaller id.  Ids may be of any type that can be ordered.  An empty list matches
+nothing.
 """
 
 from __future__ import annotations
 
-import math
 import re
 import unicodedata
-from collections import Counter, defaultdict
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -85,79 +86,22 @@ def deletions(word: str, most: int) -> set[str]:
     return found
 
 
-def _split(titles: list[list[str]], end: bool) -> dict[tuple[str, ...], tuple[tuple[str, ...], tuple[str, ...]]]:
-    """title -> (role, field): the role is what all titles with the same first (or last) word share."""
-    by = defaultdict(list)
-    for t in titles:
-        by[t[-1] if end else t[0]].append(t[::-1] if end else t)
-    out = {}
-    for group in by.values():
-        shared = 1 if len(group) == 1 else 0
-        while len(group) > 1 and all(len(t) > shared + 1 and t[shared] == group[0][shared] for t in group):
-            shared += 1
-        shared = max(shared, 1)
-        for t in group:
-            role, field = t[:shared], t[shared:]
-            whole = t[::-1] if end else t
-            out[tuple(whole)] = (tuple(role[::-1]), tuple(field[::-1])) if end else (tuple(role), tuple(field))
-    return out
-
-
-def grid(entries: list[tuple[object, str | None, str | None]]) -> list[tuple[object, tuple[str, ...]]]:
-    """(id, tokens) of every spelling of every entry."""
-    first = {i: [w for w in re.findall("[a-z0-9]+", fold(a))] for i, a, _ in entries if a and a.strip()}
-    second = {i: [w for w in re.findall("[a-z0-9]+", fold(b))] for i, _, b in entries if b and b.strip()}
-    front = _split([t for t in first.values() if t], False)
-    back = _split([t for t in second.values() if t], True)
-    role_of, field_of = defaultdict(set), defaultdict(set)
-    for i, t in first.items():
-        if t:
-            role, field = front[tuple(t)]
-            role_of[role].add(role)
-            field_of[field].add(field)
-            if second.get(i):
-                other_role, other_field = back[tuple(second[i])]
-                role_of[role].add(other_role)
-                field_of[field].add(other_field)
-    out = set()
-    for i, t in first.items():
-        if t:
-            role, field = front[tuple(t)]
-            out |= {(i, r + f) for r in role_of[role] for f in field_of[field]}
-    out |= {(i, tuple(t)) for i, t in second.items() if t}
-    return sorted(out, key=str)
-
-
-def phrases(entries: list[tuple[object, str | None, str | None]]) -> set[tuple[str, ...]]:
-    """Roles and fields of several words, in both languages."""
-    found = set()
-    for texts, end in (([a for _, a, _ in entries], False), ([b for _, _, b in entries], True)):
-        titles = [re.findall("[a-z0-9]+", fold(t)) for t in texts if t and t.strip()]
-        for role, field in _split([t for t in titles if t], end).values():
-            found |= {p for p in (role, field) if len(p) > 1}
-    return found
+_KEYS = ArrayType(StringType())
 
 
-def vocabulary(entries: list[tuple[object, str | None, str | None]]) -> list[tuple[str, str, float]]:
-    """(form, token, closeness): every form that stands for a token of the list; initials stand for several."""
-    base = {w for _, ws in grid(entries) for w in ws} - FUNCTION_WORDS
-    forms = {(w, w, 1.0) for w in base}
-    for w in base:
-        forms |= {(w[: -len(m)] + f, w, 1.0) for m, f in FEMININE if w.endswith(m)}
-    for phrase in phrases(entries):
-        for words in (phrase, tuple(w for w in phrase if w not in FUNCTION_WORDS)):
-            short = "".join(w[0] for w in words)
-            if len(short) > 1 and short not in FUNCTION_WORDS and short not in base:
-                forms |= {(short, w, 0.95) for w in phrase if w not in FUNCTION_WORDS}
-    return sorted(forms)
+@F.pandas_udf(_KEYS)
+def _tokens(column: pd.Series) -> pd.Series:
+    return column.map(tokens)
 
 
-_KEYS = ArrayType(StringType())
+@F.pandas_udf(_KEYS)
+def _plain_tokens(column: pd.Series) -> pd.Series:
+    return column.map(lambda t: re.findall("[a-z0-9]+", fold(t)) if t else [])
 
 
 @F.pandas_udf(_KEYS)
-def _tokens(column: pd.Series) -> pd.Series:
-    return column.map(tokens)
+def _form_keys(form: pd.Series, known: pd.Series) -> pd.Series:
+    return pd.Series([[f"d{k}" for k in deletions(f, short_reach(f) if c == 1.0 else 0)] + [f"p{f[:n]}" for n in range(2, len(f) + 1)] for f, c in zip(form, known)])
 
 
 @F.pandas_udf(_KEYS)
@@ -179,15 +123,55 @@ def _closeness(typed: pd.Series, form: pd.Series, known: pd.Series) -> pd.Series
     return pd.Series([one(*x) for x in zip(typed, form, known)])
 
 
-def repair(typed: DataFrame, vocab: list[tuple[str, str, float]]) -> DataFrame:
+def parted(titles: DataFrame, end: bool) -> DataFrame:
+    """Adds ``role`` and ``field`` to distinct titles in ``words``: the role is what all with the same first (or last) word share."""
+    turned = titles.withColumn("_w", F.reverse("words") if end else F.col("words")).withColumn("_lead", F.get("_w", F.lit(0)))
+    heads = turned.where("size(_w) > 1").select("_lead", "_w", F.explode(F.sequence(F.lit(1), F.size("_w") - 1)).alias("_k"))
+    alike = heads.groupBy("_lead", "_k").agg(F.count("*").alias("n"), F.min(F.slice("_w", 1, F.col("_k"))).alias("low"), F.max(F.slice("_w", 1, F.col("_k"))).alias("high"))
+    sizes = turned.groupBy("_lead").agg(F.count("*").alias("all"))
+    shared = alike.join(sizes, "_lead").where((F.col("n") == F.col("all")) & (F.col("all") > 1) & (F.col("low") == F.col("high"))).groupBy("_lead").agg(F.max("_k").alias("_shared"))
+    at = F.coalesce("_shared", F.lit(1))
+    role, field = F.slice("_w", F.lit(1), at), F.slice("_w", at + 1, F.size("_w"))
+    if end:
+        role, field = F.reverse(role), F.reverse(field)
+    return turned.join(shared, "_lead", "left").select(*titles.columns, role.alias("role"), field.alias("field"))
+
+
+def grid(listed: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """((entry, words) of every spelling of every entry, (words) of roles and fields of several words) of (entry, first, second)."""
+    told = scratch.cut(listed.select("entry", _plain_tokens(F.coalesce("first", F.lit(""))).alias("first"), _plain_tokens(F.coalesce("second", F.lit(""))).alias("second")))
+    front = scratch.cut(parted(told.select(F.col("first").alias("words")).where("size(words) > 0").distinct(), False))
+    back = scratch.cut(parted(told.select(F.col("second").alias("words")).where("size(words) > 0").distinct(), True))
+    both = told.where("size(first) > 0").join(front.select(F.col("words").alias("first"), "role", "field"), "first")
+    lined = both.where("size(second) > 0").join(back.select(F.col("words").alias("second"), F.col("role").alias("role2"), F.col("field").alias("field2")), "second")
+    roles = front.select("role", F.col("role").alias("as_role")).unionByName(lined.select("role", F.col("role2").alias("as_role"))).distinct()
+    fields = front.select("field", F.col("field").alias("as_field")).unionByName(lined.select("field", F.col("field2").alias("as_field"))).distinct()
+    cells = both.join(roles, "role").join(fields, "field").select("entry", F.concat("as_role", "as_field").alias("words"))
+    whole = told.where("size(second) > 0").select("entry", F.col("second").alias("words"))
+    parts = front.select(F.explode(F.array("role", "field")).alias("words")).unionByName(back.select(F.explode(F.array("role", "field")).alias("words")))
+    return scratch.cut(cells.unionByName(whole).distinct()), scratch.cut(parts.where("size(words) > 1").distinct())
+
+
+def vocabulary(spellings: DataFrame, phrases: DataFrame) -> DataFrame:
+    """(form, token, known): every form that stands for a token of the list; initials stand for several."""
+    empty = F.array(*[F.lit(w) for w in sorted(FUNCTION_WORDS)])
+    base = spellings.select(F.explode(F.array_except("words", empty)).alias("token")).distinct()
+    endings = F.explode(F.array(*[F.struct(F.lit(m).alias("m"), F.lit(f).alias("f")) for m, f in FEMININE]))
+    women = base.select("token", endings.alias("e")).where(F.col("token").endswith(F.col("e.m")))
+    women = women.select(F.concat(F.expr("substring(token, 1, length(token) - length(e.m))"), "e.f").alias("form"), "token", F.lit(1.0).alias("known"))
+    initials = lambda words: F.array_join(F.transform(words, lambda w: F.substring(w, 1, 1)), "")
+    short = phrases.select(F.array_except("words", empty).alias("telling"), F.explode(F.array(initials(F.col("words")), initials(F.array_except("words", empty)))).alias("form"))
+    short = short.where((F.length("form") > 1) & ~F.col("form").isin(*FUNCTION_WORDS)).join(base.select(F.col("token").alias("form")), "form", "left_anti")
+    short = short.select("form", F.explode("telling").alias("token"), F.lit(0.95).alias("known"))
+    return base.select(F.col("token").alias("form"), "token", F.lit(1.0).alias("known")).unionByName(women).unionByName(short).distinct()
+
+
+def repair(typed: DataFrame, vocab: DataFrame) -> DataFrame:
     """(typed, token, closeness) of all tokens of the list that a typed token may stand for.
 
     A typed token that is a form itself stands for that only; else the closest forms and those nearly as close are taken.
     """
-    spark = typed.sparkSession
-    keyed = [(f"d{k}", f, t, c) for f, t, c in vocab for k in deletions(f, short_reach(f) if c == 1.0 else 0)]
-    keyed += [(f"p{f[:n]}", f, t, c) for f, t, c in vocab for n in range(2, len(f) + 1)]
-    table = spark.createDataFrame(keyed or [("", "", "", 0.0)], "k string, form string, token string, known double").distinct()
+    table = vocab.select("form", "token", "known", F.explode(_form_keys("form", "known")).alias("k")).distinct()
     measure = F.pandas_udf(_closeness, DoubleType())
     met = typed.select("typed", F.explode(_deletion_keys("typed")).alias("k")).join(table, "k").drop("k").distinct()
     near = met.withColumn("closeness", measure("typed", "form", "known")).where("closeness > 0")
@@ -199,40 +183,34 @@ def match(rows: DataFrame, value: str, entries: DataFrame, entry_id: str, first:
     """The rows with (entry_id, score) of the entry their value names; both null where it names none.
 
     Columns of the rows that have these names already are replaced.
-
-    The reference list is read by the driver: it is a list kept by hand, and its vocabulary goes to the plan as a table
-    that the planner joins as its size demands.
     """
-    spark = rows.sparkSession
-    listed = [tuple(r) for r in entries.select(entry_id, first, second).where(F.col(entry_id).isNotNull()).distinct().collect()]
-    kind = dict(entries.dtypes)[entry_id]
-    spellings = [(i, sorted(set(ws) - FUNCTION_WORDS)) for i, ws in grid(listed)]
-    seen = Counter(w for _, ws in spellings for w in ws)
-    idf = {w: math.log(1 + len(spellings) / n) for w, n in seen.items()}
-    table = [(f"{n}", i, w, idf[w], float(sum(idf[x] for x in ws))) for n, (i, ws) in enumerate(spellings) for w in ws]
-    listing = spark.createDataFrame(table or [("", None, "", 0.0, 1.0)], f"spelling string, entry {kind}, token string, idf double, total double")
-    scratch = Scratch(spark, "entries")
+    scratch = Scratch(rows.sparkSession, "entries")
+    listed = entries.select(F.col(entry_id).alias("entry"), F.col(first).alias("first"), F.col(second).alias("second")).where("entry is not null").distinct()
+    spellings, parts = grid(listed, scratch)
+    empty = F.array(*[F.lit(w) for w in sorted(FUNCTION_WORDS)])
+    keyed = spellings.select("entry", F.array_sort(F.array_distinct(F.array_except("words", empty))).alias("words")).where("size(words) > 0").distinct()
+    total = keyed.agg(F.count("*").alias("all"))
+    idf = keyed.select(F.explode("words").alias("token")).groupBy("token").agg(F.count("*").alias("n")).crossJoin(total)  # one row
+    idf = scratch.cut(idf.select("token", F.log(1 + F.col("all") / F.col("n")).alias("idf")))
+    each = keyed.select("entry", "words", F.explode("words").alias("token")).join(idf, "token")
+    # each spelling is met by its rarest token
+    spelled = scratch.cut(each.groupBy("entry", "words").agg(F.max_by("token", F.struct("idf", "token")).alias("token"), F.sqrt(F.sum(F.col("idf") * F.col("idf"))).alias("length")))
     said = scratch.cut(rows.select(F.col(value).alias("said")).where(F.col(value).isNotNull()).distinct().withColumn("typed", _tokens("said")))
     typed = said.select("said", F.explode("typed").alias("typed"))
-    repaired = repair(typed.select("typed").distinct(), vocabulary(listed))
+    repaired = repair(typed.select("typed").distinct(), vocabulary(spellings, parts)).join(idf, "token")
     heard = (
         typed.join(repaired, "typed")
         .groupBy("said", "token")
-        .agg(F.max("closeness").alias("closeness"))
+        .agg(F.max("closeness").alias("closeness"), F.first("idf").alias("idf"))
         .groupBy("said")
-        .agg(F.array_sort(F.collect_list("token")).alias("heard"), F.round(F.avg("closeness"), 4).alias("closeness"))
+        .agg(F.array_sort(F.collect_list(F.struct("token", "closeness", "idf"))).alias("heard"))
     )
     heard = scratch.cut(heard)
-    ranked = (
-        heard.select("heard").distinct().select("heard", F.explode("heard").alias("token"))
-        .join(listing, "token")
-        .groupBy("heard", "entry", "spelling", "total")
-        .agg(F.sum("idf").alias("got"))
-        .where("got >= total - 0.000001")
-        .groupBy("heard")
-        .agg(F.max_by(F.struct("entry", "got"), F.struct(F.round("got", 6), -F.col("entry"))).alias("best"))
-    )
-    named = heard.join(ranked, "heard").select(F.col("said").alias(value), F.col("best.entry").alias(entry_id), F.round(F.col("closeness"), 4).alias("score"))
+    asked = heard.select("heard").distinct()
+    met = asked.select("heard", F.explode("heard.token").alias("token")).join(spelled, "token").where(F.size(F.array_except("words", F.col("heard.token"))) == 0)
+    shared = F.aggregate(F.filter("heard", lambda h: F.array_contains("words", h["token"])), F.lit(0.0), lambda t, h: t + h["idf"] * h["idf"] * h["closeness"])
+    said_length = F.sqrt(F.aggregate("heard", F.lit(0.0), lambda t, h: t + h["idf"] * h["idf"]))
+    scored = met.select("heard", "entry", F.round(shared / (F.col("length") * said_length), 6).alias("score"))
+    ranked = scored.groupBy("heard").agg(F.min(F.struct((-F.col("score")).alias("score"), "entry")).alias("best"))
+    named = heard.join(ranked, "heard").select(F.col("said").alias(value), F.col("best.entry").alias(entry_id), F.round(-F.col("best.score"), 4).alias("score"))
     return rows.drop(entry_id, "score").join(named, value, "left")
-
-
