@@ -8,8 +8,8 @@ passages of clean texts for the rest, and each round chooses anew.  As annotator
 passage looks so, and a text called clean of which one surely does, are left out of the last rounds.
 
 Before n-grams are taken, spelling tricks are undone: look-alike letters, letter substitutes (1 for i), letters drawn out
-or spaced out, case.  The fit reads at most ``max_labelled`` labelled texts, those with the smallest hash of their id; the
-scoring reads every text whole.  Null and blank texts score 0; labels that are null are left out; a label told twice by
+or spaced out, case.  The fit reads at most ``max_labelled`` labelled texts and ``max_chars`` characters of them, those
+with the smallest hash of their id; the scoring reads every text whole.  Null and blank texts score 0; labels that are null are left out; a label told twice by
 one annotator for one text counts once.  Without labels of both kinds every text scores 0.
 """
 
@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from taxoloom.llm.lookalike import canonical
@@ -28,7 +28,7 @@ from taxoloom.session import spread
 
 BITS = 17
 SIZES = (3, 4)
-_CUT = re.compile(r"(?<=[.!?])[\"'»”’)\]]*\s+|\n+|<[^<>]{0,200}>")
+_CUT = re.compile(r"(?<=[.!?])[\"'»”’)\]]*\s+|\n+|<[^<>]*>")
 _SPACED = re.compile(r"(?<!\w)(?:\w ){2,}\w(?!\w)")
 _DRAWN = re.compile(r"(.)\1{2,}")
 _DIGITS = re.compile(r"\d+")
@@ -171,26 +171,43 @@ def fit(texts: list[str], labels: np.ndarray, trust: np.ndarray, rounds: int = 3
     return w, b
 
 
-def scores(texts: list[str | None], w: np.ndarray, b: float) -> np.ndarray:
-    """The probability of the worst passage of each text."""
+def scores(texts: list[str | None], w: np.ndarray, b: float, block: int = 500_000) -> np.ndarray:
+    """The probability of the worst passage of each text; passages are measured together, about ``block`` characters at a time."""
     out = np.zeros(len(texts))
+    parts: list[str] = []
+    owner: list[int] = []
+    size = 0
+
+    def measure() -> None:
+        codes, starts = ngram_codes(parts)
+        sizes = np.diff(np.concatenate([starts, [len(codes)]]))
+        some = sizes > 0
+        found = np.zeros(len(parts))
+        if some.any():
+            found[some] = np.add.reduceat(w[codes], starts[some]) / np.sqrt(np.maximum(sizes[some], SHORT))
+        np.maximum.at(out, owner, 1 / (1 + np.exp(-np.clip(found + b, -30, 30))))
+
     for i, t in enumerate(texts):
-        parts = passages(t)
-        if parts:
-            codes, starts = ngram_codes(parts)
-            sizes = np.diff(np.concatenate([starts, [len(codes)]]))
-            worst = (np.add.reduceat(w[codes], starts) / np.sqrt(np.maximum(sizes, SHORT))).max() + b
-            out[i] = 1 / (1 + np.exp(-np.clip(worst, -30, 30)))
+        mine = passages(t)
+        parts += mine
+        owner += [i] * len(mine)
+        size += sum(map(len, mine))
+        if size > block:
+            measure()
+            parts, owner, size = [], [], 0
+    if parts:
+        measure()
     return out
 
 
-def train(documents: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, annotator: str, max_labelled: int = 20000) -> tuple[np.ndarray, float]:
-    """Fits on labelled texts, at most ``max_labelled`` of them."""
+def train(documents: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, annotator: str, max_labelled: int = 20000, max_chars: int = 200_000_000) -> tuple[np.ndarray, float]:
+    """Fits on labelled texts, at most ``max_labelled`` of them with ``max_chars`` characters in all."""
     told = labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull()).groupBy(doc_id, annotator).agg(F.max(label).alias("said"))
     votes = told.groupBy(doc_id).agg(F.avg("said").alias("share"), F.count("*").alias("n"))
     few = votes.orderBy(F.xxhash64(doc_id), doc_id).limit(max_labelled)  # at most this many rows of three numbers
     known = documents.where(F.col(text).isNotNull()).select(doc_id, F.col(text).alias("body")).join(F.broadcast(few), doc_id)
-    rows = known.dropDuplicates([doc_id]).orderBy(doc_id).toPandas()
+    so_far = F.sum(F.length("body")).over(Window.orderBy(F.xxhash64(doc_id), doc_id))  # over the labelled texts only
+    rows = known.dropDuplicates([doc_id]).withColumn("_chars", so_far).where(F.col("_chars") <= max_chars).orderBy(doc_id).toPandas()
     return fit(rows["body"].tolist(), rows["share"].to_numpy(float), rows["n"].to_numpy(float))
 
 
