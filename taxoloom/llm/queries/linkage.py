@@ -65,7 +65,14 @@ def p4_labels(spark: SparkSession, d: str) -> DataFrame:
     return skills.unionByName(jobs).where("label is not null").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_sizes, p3_found, p3_golden, p3_consensus, p4_found, p4_labels)}
+def p4_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Every record whose label is spelled in several ways, with its class and its number of links."""
+    parts = (("skills", "pref_label_fr"), ("occupations", "pref_label_en"))
+    a, b = [lookalike.alike_classes(load(spark, d, t), "entity_id", c).withColumn("table_name", F.lit(t)) for t, c in parts]
+    return a.unionByName(b)
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_sizes, p3_found, p3_golden, p3_consensus, p4_found, p4_labels, p4_classes)}
 
 _GROUPS = """
 m as (select distinct unified_id, trim(e) as e from (select unified_id, unnest(string_split(member_entity_ids, '|')) as e from unified_skills) where trim(e) <> ''),
@@ -99,6 +106,13 @@ SQL = {
     "p3_found": f"with recursive {_GROUPS}, {_WON} select group_id, field_name, unified_id from ranked where n = 1",
     "p3_golden": f"""with recursive {_GROUPS}, {_WON} select group_id, max(value) filter (field_name = 'primary_label_en') as primary_label_en, max(value) filter (field_name = 'hard_soft') as hard_soft,
       max(value) filter (field_name = 'it_subtype') as it_subtype, max(value) filter (field_name = 'sources') as sources from ranked where n = 1 group by 1""",
+    "p3_consensus": f"""with recursive {_GROUPS}, {_WON},
+      cast_ as (select l.*, lower(regexp_replace(trim(replace(value, chr(160), ' ')), '\\s+', ' ', 'g')) as norm, coalesce(pow(4.0, -b.rank), 0.0) as trust,
+        1 / (1 + pow(2.0, -(epoch(l.built_at) / 86400.0) / 365.0)) as decay from long l left join best b using (unified_id) where value in (select v from tell)),
+      sums as (select group_id, field_name, norm, round(sum(trust * decay), 9) as votes from cast_ group by 1, 2, 3),
+      picks as (select group_id, field_name, norm, unified_id, value, row_number() over (partition by group_id, field_name, norm order by trust desc, built_at desc, unified_id) as n from cast_),
+      won as (select s.*, p.value, row_number() over (partition by s.group_id, s.field_name order by votes desc, p.unified_id) as n from sums s join picks p using (group_id, field_name, norm) where p.n = 1)
+      select group_id, field_name, value, round(votes, 4) as votes from won where n = 1""",
 }
 
 

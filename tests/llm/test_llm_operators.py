@@ -113,6 +113,13 @@ def test_entries(spark, said, entry):
     assert len(got) == 2 and {r["title_id"] for r in got} == {entry}
 
 
+def test_entries_rank_by_closeness(spark):
+    listed = frame(spark, [("b", "Conseiller ventes", None), ("a", "Conseiller vente", None), ("c", "Conseiller tri", None)], "code string, fr string, en string")
+    got = {r["t"]: (r["code"], r["score"]) for r in entries.match(frame(spark, [("conseiller ventes",), ("conseiller vente",), ("conseiler vente",)], "t string"), "t", listed, "code", "fr", "en").collect()}
+    assert got["conseiller ventes"] == ("b", 1.0) and got["conseiller vente"] == ("a", 1.0)
+    assert got["conseiler vente"][0] == "a" and 0.8 < got["conseiler vente"][1] < 1.0
+
+
 def test_entries_empty(spark):
     none = frame(spark, [], "title_id long, fr string, en string")
     assert entries.match(frame(spark, [("a",)], "t string"), "t", none, "title_id", "fr", "en").first()["title_id"] is None
@@ -297,10 +304,17 @@ def test_leaks_against_brute_force(spark):
     d = frame(spark, docs, "doc_id long, text string").withColumn("item_id", F.lit("clash"))
     e = frame(spark, items, "item_id long, text string")
     assert want and rows(leakage.leaks(d, e), "doc_id", "item_id") == want
-    assert rows(leakage.leaks(d, e, block=5), "doc_id", "item_id") == want
     assert leakage.leaks(d, e.limit(0)).count() == 0 and leakage.leaks(d.limit(0), e).count() == 0
 
 
+def test_long_tags_do_not_part_a_run(spark):
+    words = [f"w{n}" for n in range(14)]
+    text = " ".join(words[:7]) + f' <a href="{"x" * 3000}">' + " ".join(words[7:])
+    d = frame(spark, [(1, text), (1, text), (2, " ".join(words[:12])), (1, "told otherwise")], "doc_id long, text string")
+    e = frame(spark, [("i", " ".join(words)), ("i", " ".join(words))], "item_id string, text string")
+    assert rows(leakage.leaks(d, e), "doc_id", "item_id", "run_words") == [(1, "i", 14)]
+
+
 # --- 10: abusive language
 
 
