@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from taxoloom.operators import forest, orphans
-from taxoloom.session import load
+from taxoloom.session import Scratch, load
 
 
 def _changes(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -41,6 +41,15 @@ def p1_current(spark: SparkSession, d: str) -> DataFrame:
     return orphans.orphan_keys(orphans.merge_state(existence, unique))
 
 
+def p1_batches(spark: SparkSession, d: str) -> DataFrame:
+    """As ``p1_current``, with the changes of audits and of relations folded into the kept state one after the other."""
+    references, existence = _changes(spark, d)
+    unique = references.dropDuplicates(["table_name", "row_id", "field_name"])
+    scratch = Scratch(spark, "state")
+    first = scratch.cut(orphans.merge_state(existence.where("domain = 'skills'"), unique.where("table_name = 'link_audit'")))
+    return orphans.orphan_keys(orphans.merge_state(existence.where("domain = 'occupations'"), unique.where("table_name <> 'link_audit'"), first))
+
+
 def _links(spark: SparkSession, d: str) -> DataFrame:
     return forest.directed_links(load(spark, d, "hierarchy"), "parent_entity_id", "child_entity_id", "relation_type")
 
@@ -58,7 +67,7 @@ def p6_descendants(spark: SparkSession, d: str) -> DataFrame:
     return forest.descendants(forest.paths(_links(spark, d)))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_monthly, p1_current, p6_found, p6_paths, p6_descendants)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_monthly, p1_current, p1_batches, p6_found, p6_paths, p6_descendants)}
 
 _REFS = """
 refs as (
@@ -99,3 +108,4 @@ SQL = {
         union all select l.parent, p.descendant_id, p.distance + 1 from pairs p join links l on p.entity_id = l.node)
       select entity_id, descendant_id, cast(distance as int) as distance from pairs""",
 }
+SQL["p1_batches"] = SQL["p1_current"]
