@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from taxoloom.queries import enrich, graphs, links, records, shapes, texts
+from taxoloom.queries import curation, enrich, graphs, links, records, shapes, texts
 
-MODULES = (records, texts, links, graphs, shapes, enrich)
+MODULES = (records, texts, links, graphs, shapes, enrich, curation)
 
 
 def queries() -> dict:
