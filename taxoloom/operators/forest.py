@@ -6,7 +6,8 @@ then merged by joining the roots of one with the offsets of the others; every me
 so a tree of depth d needs log2(d) merges however it is spread.  A merge in which no node reaches a root leaves only
 nodes on or under loops; there the nodes that stay in the image of the doubled pointers are the loops' members.
 
-A node has at most one parent; if links give several, the smallest id is kept.  Links with a null or blank end are
+A node hangs under one parent; if links give several, it hangs under the smallest id, and ``resolve_all`` gives the
+others as roots of their own unless they have a place.  Links with a null or blank end are
 left out, repeated links are one, a self-link is a loop of one.  An empty table gives an empty result.
 """
 
@@ -34,6 +35,16 @@ def directed_links(rows: DataFrame, parent: str, child: str, relation: str, down
     )
 
 
+def resolve_all(rows: DataFrame, parent: str, child: str, relation: str) -> DataFrame:
+    """As ``resolve``, from told links; a node that is only a further parent of others comes out as its own root."""
+    links = directed_links(rows, parent, child, relation)
+    found = resolve(links)
+    kind, a, b = F.lower(bare(relation)), bare(parent), bare(child)
+    ends = rows.select(kind.alias("kind"), F.explode(F.array(a, b)).alias("entity_id"), (a != "").alias("x"), (b != "").alias("y")).where(F.col("kind").isin("broader_than", "narrower_than") & F.col("x") & F.col("y"))
+    more = ends.select("entity_id").distinct().join(found.select("entity_id"), "entity_id", "left_anti")
+    return found.unionByName(more.select("entity_id", F.col("entity_id").alias("root_entity_id"), F.lit(0).alias("depth"), F.lit("none").alias("cycle_state")))
+
+
 def _contract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Weighted union-find over the links of one partition."""
     up: dict[str, str] = {}

@@ -55,7 +55,7 @@ def _links(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return forest.resolve(_links(spark, d))
+    return forest.resolve_all(load(spark, d, "hierarchy"), "parent_entity_id", "child_entity_id", "relation_type")
 
 
 def p6_paths(spark: SparkSession, d: str) -> DataFrame:
