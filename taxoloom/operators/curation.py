@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from taxoloom.functions.rules import CATEGORY_DOMAINS
 from taxoloom.functions.text import clean_aliases, mint_id, normalize_label, split_multi
-from taxoloom.operators import tables
+from taxoloom.operators import graph, tables
 from taxoloom.operators.similarity import dot
 from taxoloom.session import bare
 
@@ -288,6 +288,80 @@ def axioms(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return rows.select("name", (F.col("n_violations") == 0).alias("ok"), "n_violations")
 
 
+def concept_graph(kb: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """(nodes (id, kind, label, it_subtype), edges (s, t, type, subtype, prov, weight)) of a knowledge base.
+
+    Nodes are unified records, the ontology and the groups of roles; roles that no unified record holds stand for
+    themselves.  Links lead from child to parent: broader, in_domain, requires.  The broader links of skills are not
+    taken over but made anew from the unified record's category, so each has one.  Of equal edges the smallest weight
+    counts.
+    """
+    text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    taxonomy_rows = kb["skills"].where("source = 'TAXONOMY'")
+    roles, members = kb["occupations"].where("coalesce(occupation_type, '') <> 'isco_group'"), None
+    parts = [
+        taxonomy_rows.select(F.col("entity_id").alias("id"), text("esco_skill_type").alias("kind"), text("pref_label_en").alias("label"), text("it_subtype").alias("it_subtype")),
+        kb["occupations"].where("occupation_type = 'isco_group'").select(F.col("entity_id").alias("id"), F.lit("isco_group").alias("kind"), text("pref_label_en").alias("label"), F.lit("").alias("it_subtype")),
+    ]
+    for table, kind in (("unified_skills", "skill"), ("unified_occupations", "occupation")):
+        if table in kb:
+            sub = text("it_subtype") if "it_subtype" in kb[table].columns else F.lit("")
+            parts.append(kb[table].select(F.col("unified_id").alias("id"), F.lit(kind).alias("kind"), text("primary_label_en").alias("label"), sub.alias("it_subtype")))
+            held = kb[table].select(F.col("unified_id").alias("unified"), F.explode(split_multi("member_entity_ids")).alias("entity"))
+            members = held if members is None else members.unionByName(held)
+    if "unified_occupations" not in kb:
+        parts.append(roles.select(F.col("entity_id").alias("id"), F.lit("occupation").alias("kind"), text("pref_label_en").alias("label"), F.lit("").alias("it_subtype")))
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    nodes = every.groupBy("id").agg(F.min("kind").alias("kind"), F.min("label").alias("label"), F.min("it_subtype").alias("it_subtype")).where("id is not null")
+    told = kb["hierarchy"].select(F.trim("child_entity_id").alias("s"), F.trim("parent_entity_id").alias("t"), F.lower(F.trim("relation_type")).alias("kind"), text("source").alias("prov"))
+    told = told.where("kind in ('broader_than', 'in_domain')").select("s", "t", F.when(F.col("kind") == "in_domain", "in_domain").otherwise("broader").alias("type"), F.lit("").alias("subtype"), "prov", F.lit("").alias("weight"))
+    needs = kb["occupation_skill_relations"].select(F.col("occupation_entity_id").alias("s"), F.col("skill_entity_id").alias("t"), F.lit("requires").alias("type"), text("relation_type").alias("subtype"), text("source").alias("prov"), text("weight").alias("weight"))
+    placed = graph.remap(told.unionByName(needs), members, nodes)
+    kinds = nodes.select(F.col("id").alias("s"), F.col("kind").alias("_kind"))
+    placed = placed.join(kinds, "s").where("type <> 'broader' or _kind <> 'skill'").drop("_kind")
+    homes = nodes.where("kind = 'skill_category' and it_subtype <> ''").groupBy("it_subtype").agg(F.min("id").alias("t"))
+    anew = nodes.where("kind = 'skill'").join(homes, "it_subtype").select(F.col("id").alias("s"), "t", F.lit("broader").alias("type"), F.lit("").alias("subtype"), F.lit("TAXONOMY").alias("prov"), F.lit("").alias("weight"))
+    edges = placed.select(*anew.columns).unionByName(anew).groupBy("s", "t", "type", "subtype", "prov").agg(F.min("weight").alias("weight"))
+    return nodes, edges
+
+
+def without(rows: DataFrame, blocked: DataFrame, columns: tuple[str, ...], key: str = "entity_id") -> DataFrame:
+    """Rows that name a blocked id in any of the columns left out: labels and relations of what the gate kept out."""
+    ids = blocked.select(F.col(key)).where(f"`{key}` is not null").distinct()
+    for c in columns:
+        rows = rows.join(ids.select(F.col(key).alias(c)), c, "left_anti")
+    return rows
+
+
+def ontology(spark: SparkSession, base: str = "urn:taxoloom:") -> DataFrame:
+    """(s, p, o): classes with what they are kinds of, what excludes what, and properties with domain and range."""
+    classes = (("Occupation", "skos:Concept"), ("Skill", "skos:Concept"), ("HardSkill", "Skill"), ("SoftSkill", "Skill"), ("SkillType", "skos:Concept"), ("SkillDomain", "skos:Concept"), ("SkillCategory", "skos:Concept"), ("OccupationGroup", "skos:Concept"))
+    properties = (("requiresSkill", "Occupation", "Skill"), ("inDomain", "Occupation", "SkillDomain"))
+    iri = lambda x: x if ":" in x else f"<{base}{x}>"
+    rows = [(iri(c), "rdf:type", "owl:Class") for c, _ in classes] + [(iri(c), "rdfs:subClassOf", iri(up)) for c, up in classes]
+    rows += [(iri("Occupation"), "owl:disjointWith", iri("Skill")), (iri("HardSkill"), "owl:disjointWith", iri("SoftSkill"))]
+    for name, domain, value in properties:
+        rows += [(iri(name), "rdf:type", "owl:ObjectProperty"), (iri(name), "rdfs:domain", iri(domain)), (iri(name), "rdfs:range", iri(value))]
+    rows += [(iri(n), "rdf:type", "owl:DatatypeProperty") for n in ("hardSoft", "itSubtype", "code", "weight")]
+    return spark.createDataFrame(rows, "s string, p string, o string")
+
+
+def qa_report(kb: dict[str, DataFrame]) -> DataFrame:
+    """(table, counter, n): rows, distinct keys and filled columns of every table, one pass each."""
+    keys = {"occupations": "entity_id", "skills": "entity_id", "unified_skills": "unified_id", "hierarchy": None, "occupation_skill_relations": "rel_id", "concept_alignments": None}
+    out = None
+    for table, key in keys.items():
+        rows = kb[table]
+        filled = [c for c, t in rows.dtypes if t == "string" and c != key]
+        counts = [F.count("*").alias("rows"), *([F.count_distinct(key).alias("keys")] if key else []), *[F.count_if(bare(c) != "").alias(c) for c in filled]]
+        one = rows.agg(*counts)
+        long = one.select(F.lit(table).alias("table_name"), F.inline(F.array(*[F.struct(F.lit(c).alias("counter"), F.col(c).alias("n")) for c in one.columns])))
+        out = long if out is None else out.unionByName(long)
+    return out
+
+
 def reconciled(checks: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
     """(name, left_rows, right_rows, ok) of pairs of frames that should have equally many rows."""
     out = None

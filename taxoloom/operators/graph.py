@@ -130,10 +130,20 @@ def typed_triples(nodes: DataFrame, edges: DataFrame, base: str, classes: dict[s
     return kind.unionByName(named).unionByName(linked)
 
 
-def sunflower(nodes: DataFrame, order: str, step: float = 1.0) -> DataFrame:
-    """(id, x, y): nodes on a spiral of golden angles in the given order."""
+def numbered(rows: DataFrame, order: str) -> DataFrame:
+    """The rows with ``n``, their place from 1 on: sorted by ranges, counted by range, and numbered within it."""
     from pyspark.sql import Window as W
 
-    ranked = nodes.select("id", F.row_number().over(W.orderBy(order)).alias("n"))
+    scratch = Scratch(rows.sparkSession, "numbered")
+    dealt = scratch.cut(rows.repartitionByRange(order).withColumn("_part", F.spark_partition_id()))
+    sizes = dealt.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = sizes.join(sizes.toDF("_p", "_m"), F.col("_p") < F.col("_part"), "left").groupBy("_part").agg(F.coalesce(F.sum("_m"), F.lit(0)).alias("_before"))  # one row a partition
+    inner = dealt.join(before, "_part").withColumn("n", F.row_number().over(W.partitionBy("_part").orderBy(order)) + F.col("_before"))
+    return inner.drop("_part", "_before")
+
+
+def sunflower(nodes: DataFrame, order: str, step: float = 1.0) -> DataFrame:
+    """(id, x, y): nodes on a spiral of golden angles in the given order."""
+    ranked = numbered(nodes.select("id", order) if order != "id" else nodes.select("id"), order)
     angle = F.col("n") * 2.399963229728653
     return ranked.select("id", F.round(step * F.sqrt("n") * F.cos(angle), 4).alias("x"), F.round(step * F.sqrt("n") * F.sin(angle), 4).alias("y"))

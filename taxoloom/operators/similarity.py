@@ -1,8 +1,12 @@
 """Similarity joins over vectors, and what is decided by them.
 
-``cosine_pairs`` is exact.  The smaller side is cut into blocks of bounded size that go to the tasks one after another,
-and each task multiplies its rows with the block as matrices, keeping only the best of each row.  Its work is the product
-of the sizes, as it must be for an exact answer; its memory is a block.
+``cosine_pairs`` is exact.  Both sides are dealt into blocks of bounded size by a hash of the id; every block of one side
+meets every block of the other in a join on the block's number, and each meeting multiplies two matrices and keeps the
+best of each row.  Its work is the product of the sizes, as it must be for an exact answer; what is shuffled is that
+divided by the block size, its memory is two blocks, and nothing passes through the driver.
+
+``sparse_cosine`` above a floor meets only rows that share one of their rarest terms: what a row's other terms can add up
+to is below the floor.
 """
 
 from __future__ import annotations
@@ -15,62 +19,53 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def cosine_pairs(left: DataFrame, right: DataFrame, floor: float, top: int, block: int = 50_000, batch: int = 1024) -> DataFrame:
+def _blocks(rows: DataFrame, size: int) -> tuple[DataFrame, int]:
+    """((block, ids, grps, flat), number of blocks): the vectors of a block as one row."""
+    known = rows.where("vec is not null and id is not null").select("id", "grp", "vec")
+    n = max(1, -(-known.count() // size))
+    part = known.groupBy(F.pmod(F.xxhash64("id"), F.lit(n)).cast("int").alias("block")).agg(F.collect_list(F.struct("id", "grp", "vec")).alias("x"))
+    return part.select("block", F.col("x.id").alias("ids"), F.col("x.grp").alias("grps"), F.flatten(F.transform("x.vec", lambda v: v.cast("array<double>"))).alias("flat")), n
+
+
+def cosine_pairs(left: DataFrame, right: DataFrame, floor: float, top: int, block: int = 4096) -> DataFrame:
     """(a, a_group, b, b_group, sim): for each left row and right group, its ``top`` right rows at or above ``floor``.
 
-    Both sides have (id, grp, vec); rows of one group are no pairs.  Equal similarities go to the smaller id.
+    Both sides have (id, grp, vec); rows of one group are no pairs.  Equal similarities go to the smaller id.  Rows
+    without a vector or an id are left out.
     """
     kinds = dict(left.dtypes)["id"], dict(left.dtypes)["grp"]
     schema = f"a {kinds[0]}, a_group {kinds[1]}, b {kinds[0]}, b_group {kinds[1]}, sim double"
-    found, part = [], []
-    rows = right.where("vec is not null").select("id", "grp", "vec").toLocalIterator()
-
-    def flush() -> None:
-        ids = np.array([p[0] for p in part])
-        groups = np.array([p[1] for p in part])
-        m = _unit(np.array([p[2] for p in part], np.float64))
-
-        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame in frames:
-                for at in range(0, len(frame), batch):
-                    yield _best(frame.iloc[at : at + batch], ids, groups, m, floor, top)
-
-        found.append(left.where("vec is not null").select("id", "grp", "vec").mapInPandas(run, schema))
-
-    for r in rows:
-        part.append((r["id"], r["grp"], r["vec"]))
-        if len(part) == block:
-            flush()
-            part = []
-    if part:
-        flush()
-    if not found:
-        return left.sparkSession.createDataFrame([], schema)
-    if len(found) == 1:
-        return found[0]
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return top_per(out, ["a", "b_group"], [-F.col("sim"), F.col("b")], top)
+    (rows, _), (others, n) = _blocks(left, block), _blocks(right, block)
+    asked = rows.select("ids", "grps", "flat", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("block"))
+    met = asked.join(others.toDF("block", "ids2", "grps2", "flat2"), "block").repartition(max(1, rows.sparkSession.sparkContext.defaultParallelism), "block", F.xxhash64("ids"))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for r in frame.itertuples(index=False):
+                ids, others = np.asarray(r.ids), np.asarray(r.ids2)
+                mine, theirs = (_unit(np.asarray(f, np.float64).reshape(len(i), -1)) for f, i in ((r.flat, ids), (r.flat2, others)))
+                yield _best(ids, np.asarray(r.grps), mine, others, np.asarray(r.grps2), theirs, floor, top)
+
+    found = met.select("ids", "grps", "flat", "ids2", "grps2", "flat2").mapInPandas(run, schema)
+    return found if n == 1 else top_per(found, ["a", "b_group"], [-F.col("sim"), F.col("b")], top)
 
 
 def _unit(m: np.ndarray) -> np.ndarray:
     return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12) if len(m) else m
 
 
-def _best(frame: pd.DataFrame, ids: np.ndarray, groups: np.ndarray, m: np.ndarray, floor: float, top: int) -> pd.DataFrame:
-    own = frame["grp"].to_numpy()
-    sims = np.round(_unit(np.array(frame["vec"].tolist(), np.float64)) @ m.T, 9)
+def _best(ids: np.ndarray, own: np.ndarray, m: np.ndarray, others: np.ndarray, groups: np.ndarray, n: np.ndarray, floor: float, top: int) -> pd.DataFrame:
+    sims = np.round(m @ n.T, 9)
     i, j = np.nonzero((sims >= floor) & (own[:, None] != groups[None, :]))
-    out = pd.DataFrame({"a": frame["id"].to_numpy()[i], "a_group": own[i], "b": ids[j], "b_group": groups[j], "sim": sims[i, j]})
+    out = pd.DataFrame({"a": ids[i], "a_group": own[i], "b": others[j], "b_group": groups[j], "sim": sims[i, j]})
     return out.sort_values(["a", "b_group", "sim", "b"], ascending=[True, True, False, True]).groupby(["a", "b_group"]).head(top)
 
 
-def top_per(rows: DataFrame, keys: list[str], order: list[Column], most: int) -> DataFrame:
-    """The first rows of each key by an order."""
+def top_per(rows: DataFrame, keys: list[str], order: list[Column], most: int, after: int = 0) -> DataFrame:
+    """The first rows of each key by an order, up to place ``most``, those up to ``after`` left out."""
     from pyspark.sql import Window as W
 
-    return rows.withColumn("_n", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where(F.col("_n") <= most).drop("_n")
+    return rows.withColumn("_n", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where((F.col("_n") <= most) & (F.col("_n") > after)).drop("_n")
 
 
 def mutual_top(rows: DataFrame, floor: float = 0.50, top: int = 5) -> DataFrame:
@@ -156,9 +151,29 @@ def tfidf(rows: DataFrame, row_id: str, text: str, sizes: tuple[int, ...] = (3,
     return raw.join(norm, "id").select("id", "term", (F.col("w") / F.col("norm")).alias("weight"))
 
 
-def sparse_cosine(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(a, b, sim) of all rows that share a term."""
-    a, b = left.select(F.col("id").alias("a"), "term", F.col("weight").alias("wa")), right.select(F.col("id").alias("b"), "term", F.col("weight").alias("wb"))
-    return a.join(b, "term").groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("sim"))
-
+def sparse_cosine(left: DataFrame, right: DataFrame, floor: float | None = None) -> DataFrame:
+    """(a, b, sim) of all rows that share a term; with a ``floor`` above 0 those whose similarity reaches it.
 
+    Weights of a row are of length one.  With a floor a row is met by its rarest terms only, as many as it takes until
+    the length of the rest is below the floor; the rest of either row alone can't bring the product up to it.
+    """
+    if not floor:
+        a, b = left.select(F.col("id").alias("a"), "term", F.col("weight").alias("wa")), right.select(F.col("id").alias("b"), "term", F.col("weight").alias("wb"))
+        return a.join(b, "term").groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("sim"))
+    df = left.select("term").unionByName(right.select("term")).groupBy("term").agg(F.count("*").alias("df"))
+
+    def profile(rows: DataFrame, name: str) -> DataFrame:
+        one = rows.join(df, "term").groupBy(F.col("id").alias(name)).agg(F.array_sort(F.collect_list(F.struct("df", "term", "weight"))).alias("ts"))
+        start = F.struct(F.lit(0.0).alias("before"), F.array().cast("array<string>").alias("terms"))
+
+        def step(acc, t):
+            more = F.sqrt(F.greatest(1 - acc["before"], F.lit(0.0))) >= floor - 1e-9
+            return F.struct((acc["before"] + t["weight"] * t["weight"]).alias("before"), F.when(more, F.concat(acc["terms"], F.array(t["term"]))).otherwise(acc["terms"]).alias("terms"))
+
+        return one.select(name, F.map_from_entries(F.transform("ts", lambda t: F.struct(t["term"], t["weight"]))).alias(f"w{name}"), F.aggregate("ts", start, step)["terms"].alias("head"))
+
+    a, b = profile(left, "a"), profile(right, "b")
+    met = a.select("a", F.explode("head").alias("term")).join(b.select("b", F.explode("head").alias("term")), "term").select("a", "b").distinct()
+    both = met.join(a.drop("head"), "a").join(b.drop("head"), "b")
+    shared = F.aggregate(F.map_keys("wa"), F.lit(0.0), lambda t, k: t + F.try_element_at("wa", k) * F.coalesce(F.try_element_at("wb", k), F.lit(0.0)))
+    return both.select("a", "b", shared.alias("sim")).where(F.col("sim") >= floor)

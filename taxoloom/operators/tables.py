@@ -16,7 +16,7 @@ def project(rows: DataFrame, fields: list[str]) -> DataFrame:
 
 def replace_source(old: DataFrame, new: DataFrame, source: str, name: str) -> DataFrame:
     """The table with one source's rows replaced by new ones, of which repeated rows are one."""
-    return old.where(F.col(source) != name).unionByName(new.dropDuplicates(), allowMissingColumns=True)
+    return old.where(~F.col(source).eqNullSafe(name)).unionByName(new.dropDuplicates(), allowMissingColumns=True)
 
 
 def insert_absent(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -26,11 +26,13 @@ def insert_absent(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 
 def replace_pairs(old: DataFrame, new: DataFrame, a: str, b: str, name: str) -> DataFrame:
     """Pairs with a source on either side replaced."""
-    return old.where((F.col(a) != name) & (F.col(b) != name)).unionByName(new, allowMissingColumns=True)
+    return old.where(~F.col(a).eqNullSafe(name) & ~F.col(b).eqNullSafe(name)).unionByName(new, allowMissingColumns=True)
 
 
-def replace_children(old: DataFrame, new: DataFrame, child: str) -> DataFrame:
-    """Edges of the children at hand replaced, all others kept."""
+def replace_children(old: DataFrame, new: DataFrame, child: str, mine: Column | None = None) -> DataFrame:
+    """Edges of the children at hand replaced, all others kept; or, where ``mine`` tells which rows are of this kind, all of that kind."""
+    if mine is not None:
+        return old.where(~F.coalesce(mine, F.lit(False))).unionByName(new)
     return old.join(new.select(child).distinct(), child, "left_anti").select(*old.columns).unionByName(new)
 
 

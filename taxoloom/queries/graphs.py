@@ -18,9 +18,9 @@ def _kb(spark: SparkSession, d: str) -> dict[str, DataFrame]:
 
 
 def _edges(spark: SparkSession, d: str) -> DataFrame:
-    """(u, v): parent and child of plain broader links."""
-    rows = load(spark, d, "hierarchy").where("lower(trim(relation_type)) = 'broader_than'")
-    return rows.select(F.trim("parent_entity_id").alias("u"), F.trim("child_entity_id").alias("v")).where("coalesce(u, '') <> '' and coalesce(v, '') <> ''").distinct()
+    """(u, v): parent and child of broader links and, turned round, narrower ones."""
+    rows = load(spark, d, "hierarchy").select(F.lower(F.trim("relation_type")).alias("kind"), F.trim("parent_entity_id").alias("a"), F.trim("child_entity_id").alias("b")).where("kind in ('broader_than', 'narrower_than') and coalesce(a, '') <> '' and coalesce(b, '') <> ''")
+    return rows.select(F.when(F.col("kind") == "broader_than", F.col("a")).otherwise(F.col("b")).alias("u"), F.when(F.col("kind") == "broader_than", F.col("b")).otherwise(F.col("a")).alias("v")).distinct()
 
 
 def connected_components(spark, d):
@@ -293,7 +293,7 @@ def skos_decision(spark, d):
 def tfidf_char_cosine(spark, d):
     rows = load(spark, d, "role_titles").select(F.col("title_id").alias("id"), text.normalize_label("title_fr").alias("t"))
     weights = similarity.tfidf(rows, "id", "t")
-    return similarity.sparse_cosine(weights, weights).where("a < b and sim >= 0.5").select("a", "b", F.round("sim", 3).alias("sim"))
+    return similarity.sparse_cosine(weights, weights, 0.5).where("a < b").select("a", "b", F.round("sim", 3).alias("sim"))
 
 
 QUERIES = {
@@ -306,7 +306,7 @@ QUERIES = {
     )
 }
 
-_E = "e as (select distinct trim(parent_entity_id) as u, trim(child_entity_id) as v from hierarchy where lower(trim(relation_type)) = 'broader_than' and coalesce(trim(parent_entity_id), '') <> '' and coalesce(trim(child_entity_id), '') <> '')"
+_E = "e as (select distinct case when kind = 'broader_than' then a else b end as u, case when kind = 'broader_than' then b else a end as v from (select lower(trim(relation_type)) as kind, trim(parent_entity_id) as a, trim(child_entity_id) as b from hierarchy) where kind in ('broader_than', 'narrower_than') and coalesce(a, '') <> '' and coalesce(b, '') <> '')"
 _MEM = "mem as (select distinct unified_id, trim(e) as entity from (select unified_id, unnest(regexp_split_to_array(coalesce(member_entity_ids, ''), '[\\n\\r|]')) as e from unified_skills) where trim(e) <> '')"
 _N = """nodes as (select id, min(kind) as kind, min(label) as label from (select entity_id as id, esco_skill_type as kind, pref_label_en as label from skills where source = 'TAXONOMY' union all select entity_id, 'occupation', pref_label_en from occupations union all select unified_id, 'skill', primary_label_en from unified_skills) group by 1)"""
 _SIM = "round(list_dot_product(x.vec, y.vec), 9)"
@@ -345,7 +345,7 @@ SQL = {
       union all select '<urn:kg:' || u || '>', 'skos:narrower', '<urn:kg:' || v || '>' from e""",
     "layout": "with n as (select id, row_number() over (order by id) as n from (select distinct entity_id as id from skills where source = 'TAXONOMY')) select id, round(sqrt(n) * cos(n * 2.399963229728653), 4) as x, round(sqrt(n) * sin(n * 2.399963229728653), 4) as y from n",
     "member_validity": f"with {_MEM} select entity as entity_id, count(distinct unified_id) as owners from mem group by 1 having count(distinct unified_id) > 1",
-    "replace_source_rows": "with o as (select entity_id, source, pref_label_en from occupations), n as (select * from o where source <> 'NOC' union all (select distinct entity_id, source, upper(pref_label_en) from o where source = 'NOC')) select source, count(*) as n, count(distinct pref_label_en) as labels from n group by 1",
+    "replace_source_rows": "with o as (select entity_id, source, pref_label_en from occupations), n as (select * from o where source is distinct from 'NOC' union all (select distinct entity_id, source, upper(pref_label_en) from o where source = 'NOC')) select source, count(*) as n, count(distinct pref_label_en) as labels from n group by 1",
     "upsert_labels": f"with {_MEM}, o as (select distinct entity_id, pref_label_en as label from skills), n as (select label from o union all select 'new' from (select distinct entity from mem) where entity not in (select entity_id from o)) select label, count(*) as n from n group by 1",
     "last_write_wins": "select url, title, retrieved_at from (select url, title, retrieved_at, row_number() over (partition by url order by retrieved_at desc nulls last, coalesce(title, '') desc) as r from hellowork) where r = 1",
     "remove_source": f"""with {_GONE} select 'occupations' as table_name, count(*) as n from occupations where coalesce(source, '') <> 'ROME' union all select 'skills', count(*) from skills where coalesce(source, '') <> 'ROME'
@@ -393,25 +393,31 @@ SQL = {
       select x.id as a, y.id as b, round(sum(x.w * y.w), 3) as sim from u x join u y on x.term = y.term and x.id < y.id group by 1, 2 having sum(x.w * y.w) >= 0.5""",
 }
 
+_REAL_S = "(select distinct entity_id as n from skills where coalesce(esco_skill_type, '') not in ('skill_type', 'skill_domain', 'skill_category'))"
+_REAL_O = "(select distinct entity_id as n from occupations where coalesce(occupation_type, '') <> 'isco_group')"
+_SOFT = ", ".join(S.q(c) for c, x in rules.CATEGORY_DOMAINS.items() if x == "dom_soft")
+_HARD = ", ".join(S.q(c) for c, x in rules.CATEGORY_DOMAINS.items() if x != "dom_soft")
+_PARENTS = "select 1 from {real} r left join (select v, count(*) as n from w where kind = '{kind}' and type = '{type}' group by 1) p on r.n = p.v where coalesce(p.n, 0) <> 1"
+_MEMBERS = "(select unified_id, trim(e) as m from (select unified_id, unnest(string_split(member_entity_ids, '|')) as e from unified_skills) where trim(e) <> '')"
 _CHECKS = {
-    "edges_resolve": "select u from w where u not in (select n from nd) union all select v from w where v not in (select n from nd)",
-    "no_self_loop": "select u from w where u = v",
-    "acyclic": "select start from up group by start having bool_or(here = start)",
-    "one_parent_per_skill": "select n from rs left join (select distinct u, v from dn) on v = n group by n having count(u) <> 1",
-    "one_parent_per_occupation": "select n from ro left join (select distinct u, v from dn) on v = n group by n having count(u) <> 1",
-    "occupations_reach_root": "select n from ro where n not in (select node from below)",
-    "groups_in_scope": "select entity_id from occupations where occupation_type = 'isco_group' and not regexp_matches(coalesce(isco_code, ''), '^(25|35|133|1|13|2|3)')",
-    "no_skill_over_skill": "select u from w where u in (select n from rs) and v in (select n from rs)",
-    "subtypes_consistent": f"select entity_id from skills where {S.blank_null('hard_soft_provisional')} is null or {S.blank_null('it_subtype')} is null or (trim(it_subtype) in ({', '.join(S.q(k) for k in rules.CATEGORY_DOMAINS)}) and (case when starts_with(trim(it_subtype), 'soft_') then 'soft' else 'hard' end) <> lower(trim(hard_soft_provisional)))",
-    "relations_resolve": "select rel_id from occupation_skill_relations where coalesce(occupation_entity_id, '~') not in (select n from ro) union all select rel_id from occupation_skill_relations where coalesce(skill_entity_id, '~') not in (select n from rs)",
-    "members_resolve": "select m from (select trim(unnest(string_split(member_entity_ids, '|'))) as m from unified_skills) where m <> '' and m not in (select n from nd)",
-    "ids_unique": "select entity_id from occupations group by 1 having count(*) > 1 union all select entity_id from skills group by 1 having count(*) > 1",
-    "relations_unique": "select 1 from occupation_skill_relations group by occupation_entity_id, skill_entity_id, relation_type, source, weight, retrieved_at having count(*) > 1",
+    "edges_resolve": "select 1 from w where u not in (select n from nd) or v not in (select n from nd)",
+    "no_self_loop": "select 1 from w where u = v",
+    "acyclic": "select 1 from reach where a = b limit 1",
+    "one_category_per_skill": _PARENTS.format(real=_REAL_S, kind="skill", type="broader_than"),
+    "one_backbone_and_domain_per_occupation": _PARENTS.format(real=_REAL_O, kind="occupation", type="broader_than") + " union all " + _PARENTS.format(real=_REAL_O, kind="occupation", type="in_domain"),
+    "occupations_reach_root": f"select n from {_REAL_O} where n not in (select node from below) union all select cast(i as varchar) from (select unnest(range(1, 1 + abs((select count(*) from (select distinct u from bk where u not in (select v from bk))) - 1))) as i)",
+    "groups_in_scope": "select 1 from occupations where occupation_type = 'isco_group' and coalesce(isco_code, '') <> '' and not regexp_matches(isco_code, '^(25|35|133)')",
+    "no_skill_over_skill": f"select 1 from w where u in (select n from {_REAL_S}) and v in (select n from {_REAL_S})",
+    "hard_soft_matches": f"select 1 from unified_skills where coalesce(hard_soft, '') = '' or coalesce(it_subtype, '') = '' or (it_subtype in ({_SOFT}) and hard_soft <> 'soft') or (it_subtype in ({_HARD}) and hard_soft <> 'hard')",
+    "relations_typed": f"select 1 from occupation_skill_relations where coalesce(occupation_entity_id, '~') not in (select n from {_REAL_O}) union all select 1 from occupation_skill_relations where coalesce(skill_entity_id, '~') not in (select n from {_REAL_S})",
+    "members_valid": f"select 1 from unified_skills where len(list_filter(string_split(coalesce(member_entity_ids, ''), '|'), lambda x: trim(x) <> '')) = 0 union all select 1 from {_MEMBERS} where m not in (select n from nd) union all select 1 from (select m from (select distinct unified_id, m from {_MEMBERS}) group by m having count(*) > 1)",
+    "ids_unique": "select 1 from (select entity_id from (select entity_id from occupations union all select entity_id from skills) group by 1 having count(*) > 1) union all select 1 from (select unified_id from unified_skills group by 1 having count(*) > 1)",
+    "relations_unique": "select unnest(range(1, n)) from (select count(*) as n from occupation_skill_relations group by occupation_entity_id, skill_entity_id, relation_type, source, weight having count(*) > 1)",
 }
-SQL["invariants"] = """with recursive w as (select trim(parent_entity_id) as u, trim(child_entity_id) as v, lower(trim(relation_type)) as kind from hierarchy where coalesce(trim(parent_entity_id), '') <> '' and coalesce(trim(child_entity_id), '') <> ''),
-  dn as (select u, v from w where kind = 'broader_than'), one as (select v as node, min(u) as parent from dn group by 1),
-  nd as (select entity_id as n from occupations union select entity_id from skills), ro as (select distinct entity_id as n from occupations where coalesce(occupation_type, '') <> 'isco_group'), rs as (select distinct entity_id as n from skills where coalesce(source, '') <> 'TAXONOMY'),
-  below as (select distinct parent as node from one where parent not in (select node from one) union select o.node from one o join below b on o.parent = b.node),
-  up as (select node as start, parent as here, 1 as k from one where node not in (select node from below) union all select u.start, o.parent, k + 1 from up u join one o on u.here = o.node where k < 200) """ + " union all ".join(
+SQL["invariants"] = """with recursive w as (select trim(coalesce(parent_entity_id, '')) as u, trim(coalesce(child_entity_id, '')) as v, lower(trim(coalesce(relation_type, ''))) as type, lower(trim(coalesce(entity_kind, ''))) as kind from hierarchy),
+  nd as (select entity_id as n from occupations union select entity_id from skills),
+  ew as (select distinct u as a, v as b from w where u <> '' and v <> ''), reach as (select a, b from ew union select r.a, e.b from reach r join ew e on r.b = e.a),
+  bk as (select u, v from w where kind = 'occupation' and type = 'broader_than'), one as (select v as node, min(u) as parent from bk where u <> '' and v <> '' group by 1),
+  below as (select distinct parent as node from one where parent not in (select node from one) union select o.node from one o join below b on o.parent = b.node) """ + " union all ".join(
     f"select '{name}' as name, count(*) = 0 as ok, count(*) as n_violations from ({sql})" for name, sql in _CHECKS.items()
 )

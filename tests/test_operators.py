@@ -200,7 +200,7 @@ def test_cosine_blocks_agree(spark):
     data = [(n, n % 3, [rng.gauss(0, 1) for _ in range(8)]) for n in range(80)] + [(99, 1, None)]
     df = frame(spark, data, "id long, grp int, vec array<double>")
     whole = rows(similarity.cosine_pairs(df, df, 0.2, 4), "a", "b", "sim")
-    assert whole and whole == rows(similarity.cosine_pairs(df, df, 0.2, 4, block=13, batch=7), "a", "b", "sim")
+    assert whole and whole == rows(similarity.cosine_pairs(df, df, 0.2, 4, block=13), "a", "b", "sim")
     assert similarity.cosine_pairs(df, df.limit(0), 0.2, 4).count() == 0
 
 
