@@ -75,8 +75,9 @@ def unified_to_skill(spark, d):
 
 
 def variant_lookup(spark, d):
-    rows = load(spark, d, "unified_skills").select("unified_id", "primary_label_en").distinct().orderBy("unified_id")
-    return lookup.variant_index(rows, "unified_id", "unified_id", "primary_label_en", ("monitor", "audit"), ("automation", "auditing"))
+    """Variants of the labels of all sources but one's own."""
+    rows = load(spark, d, "skills").where("coalesce(source, '') not in ('TAXONOMY', 'DATAJOBS')")
+    return lookup.variant_index(rows, "entity_id", "entity_id", "pref_label_en", ("monitor", "audit"), ("automation", "auditing"))
 
 
 def first_probe(spark, d):
@@ -92,19 +93,20 @@ def regex_priority_role(spark, d):
     return found.select("url", lookup.pattern_or_key(F.coalesce("title", F.lit("")), ROLE_PATTERNS, F.col("listed")).alias("role")).where("role is not null").distinct()
 
 
-def _phrases(spark, d):
-    """Nouns of skill labels, as a dictionary of two words."""
-    grams = load(spark, d, "skills").where("source <> 'TAXONOMY'").select(F.explode(text.ngrams(text.tech_tokens(text.normalize_label("pref_label_en")), 2)).alias("key"))
+def _phrases(spark, d, most=4):
+    """Runs of one to four words in skill labels, as a dictionary."""
+    grams = load(spark, d, "skills").where("source <> 'TAXONOMY'").select(F.explode(text.ngrams_to(text.tech_tokens(text.normalize_label("pref_label_en")), most)).alias("key"))
     return grams.groupBy("key").agg(F.count("*").alias("n")).where("n >= 3").select("key", F.col("key").alias("entity"))
 
 
 def ngram_dictionary_match(spark, d):
-    hits = lookup.dictionary_hits(load(spark, d, "documents"), "doc_id", "text", _phrases(spark, d), 2)
+    hits = lookup.dictionary_hits(load(spark, d, "documents"), "doc_id", "text", _phrases(spark, d), 4)
     return hits.groupBy("entity").agg(F.count("*").alias("docs"))
 
 
 def longest_match(spark, d):
-    return lookup.longest_hits(load(spark, d, "documents"), "doc_id", "text", _phrases(spark, d), 3).groupBy("entity").agg(F.count("*").alias("docs"))
+    """Documents by the phrases of three, two and one words that cover their text."""
+    return lookup.longest_hits(load(spark, d, "documents"), "doc_id", "text", _phrases(spark, d, 3), 3).groupBy("entity").agg(F.count("*").alias("docs"))
 
 
 def frequent_absent(spark, d):
@@ -205,8 +207,9 @@ _INDEX = f"""lab as (select entity_id, 0 as f, pref_label_en as label from skill
   keyed as (select entity_id, f, {S.match_key('label')} as key from lab),
   idx as (select key, min(entity_id) as entity from keyed where key <> '' group by key)"""
 _TOK = "regexp_extract_all({x}, '[a-z0-9+.#]+')"
+_NGRAMS = " union all ".join(f"select {{id}}, {' || chr(32) || '.join(f'ts[i + {k}]' for k in range(n))} as key from (select {{id}}, ts, unnest(range(1, len(ts) - {n - 2})) as i from {{t}})" for n in (1, 2, 3, 4))
 _GRAMS = f"""words as (select entity_id, {_TOK.format(x=S.norm('pref_label_en'))} as ts from skills where source <> 'TAXONOMY'),
-  dict as (select ts[i] || ' ' || ts[i + 1] as key from (select ts, unnest(range(1, len(ts))) as i from words) group by 1 having count(*) >= 3)"""
+  dict as (select key from ({_NGRAMS.format(id='entity_id', t='words')}) group by 1 having count(*) >= 3)"""
 _ANTI = "coalesce({c}, '~') not in (select entity_id from {t})"
 SQL = {
     "demand_edges_distinct": f"with {_POST} select role, skill, count(distinct posting) as weight from post group by 1, 2 having count(distinct posting) >= 2",
@@ -224,7 +227,7 @@ SQL = {
       h as (select p.unified_id, p.n, p.probe, idx.entity from p join idx on {S.match_key('p.probe')} = idx.key)
       select unified_id as owner, arg_min(probe, n) as probe, arg_min(entity, n) as entity from h group by 1""",
     "ngram_dictionary_match": f"""with {_GRAMS}, d as (select doc_id, {_TOK.format(x="lower(coalesce(text, ''))")} as ts from documents),
-      g as (select distinct doc_id, ts[i] || ' ' || ts[i + 1] as key from (select doc_id, ts, unnest(range(1, len(ts))) as i from d))
+      g as (select distinct doc_id, key from ({_NGRAMS.format(id='doc_id', t='d')}))
       select key as entity, count(*) as docs from g where key in (select key from dict) group by 1""",
     "frequent_absent": f"""with d as (select distinct doc_id, unnest({_TOK.format(x="lower(coalesce(text, ''))")}) as token from documents),
       i as (select distinct unnest({_TOK.format(x="lower(coalesce(pref_label_en, ''))")}) as key from skills)
