@@ -1,15 +1,18 @@
 """Text functions as column expressions: folding, keys, tokens, cleaning, decoding.
 
-All of them stay inside the JVM.  Null input counts as the empty text unless a function says otherwise.
+All of them but the resolution of relative links stay inside the JVM.  Null input counts as the empty text unless a function says otherwise.
 """
 
 from __future__ import annotations
 
 import unicodedata
 from functools import lru_cache
+from urllib.parse import urljoin
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 # Characters that are folded before accents are dropped.
 QUOTES = "’‘`´"
@@ -188,11 +191,22 @@ def html_text(c: Column | str) -> Column:
 def json_ld(c: Column | str) -> Column:
     """The JSON-LD blocks of a page, as variants; unreadable ones are left out."""
     blocks = F.regexp_extract_all(_col(c), F.lit("(?is)<script[^>]*application/ld\\+json[^>]*>(.*?)</script>"), 1)
-    return F.filter(F.transform(blocks, lambda b: F.try_parse_json(b)), lambda v: v.isNotNull())
+    read = F.filter(F.transform(blocks, lambda b: F.try_parse_json(b)), lambda v: v.isNotNull())
+    # a block may be a list, or hold its parts under @graph
+    listed = lambda v: F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array(v))
+    inner = lambda v: F.coalesce(F.try_variant_get(v, "$['@graph']", "array<variant>"), F.array(v))
+    return F.flatten(F.transform(F.flatten(F.transform(read, listed)), inner))
 
 
-def page_links(c: Column | str) -> Column:
-    """Distinct targets of links, without fragments, in order."""
+@F.pandas_udf(ArrayType(StringType()))
+def _absolute(bases: pd.Series, links: pd.Series) -> pd.Series:
+    return pd.Series([list(dict.fromkeys(urljoin(b or "", h) for h in hs)) for b, hs in zip(bases, links)])
+
+
+def page_links(c: Column | str, base: Column | str | None = None) -> Column:
+    """Distinct targets of links, without fragments, in order; absolute where the page's own address is given."""
+    if base is not None:
+        return _absolute(_col(base), page_links(c))
     return F.array_distinct(F.filter(F.transform(F.regexp_extract_all(_col(c), F.lit("(?i)href\\s*=\\s*[\"']([^\"']+)[\"']"), 1), lambda h: F.regexp_replace(h, "#.*$", "")), lambda h: h != ""))
 
 
@@ -210,8 +224,12 @@ def is_noise(c: Column | str) -> Column:
     return ~x.rlike("[A-Za-z]") | x.rlike("^[(\\[{]") | x.contains(" ,")
 
 
+# What stands for a name that was taken out of a corpus.
+ANONYMISED = "^<[A-Z_]+>$"
+
+
 def bio_spans(tokens: Column, tags: Column) -> Column:
-    """Spans of BIO-tagged tokens: B opens, I goes on if one is open, anything else closes."""
+    """Spans of BIO-tagged tokens: B opens, I goes on if one is open, anything else closes; anonymised tokens say nothing."""
     pairs = F.arrays_zip(tokens.alias("t"), tags.alias("g"))
     start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"))
 
@@ -219,10 +237,10 @@ def bio_spans(tokens: Column, tags: Column) -> Column:
         tag = F.coalesce(p["g"], F.lit("O"))
         closed = F.when(acc["open"] != "", F.concat(acc["done"], F.array(acc["open"]))).otherwise(acc["done"])
         begins, goes = tag.startswith("B"), tag.startswith("I") & (acc["open"] != "")
-        word = F.coalesce(p["t"], F.lit(""))
+        word = F.regexp_replace(F.coalesce(p["t"], F.lit("")), ANONYMISED, "")
         return F.struct(
             F.when(goes, acc["done"]).otherwise(closed).alias("done"),
-            F.when(begins, word).when(goes, F.concat_ws(" ", acc["open"], word)).otherwise(F.lit("")).alias("open"),
+            F.when(begins, word).when(goes, F.trim(F.concat_ws(" ", acc["open"], word))).otherwise(F.lit("")).alias("open"),
         )
 
     end = F.aggregate(pairs, start, step)

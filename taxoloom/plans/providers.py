@@ -11,8 +11,8 @@ import time
 import urllib.error
 import urllib.request
 import urllib.robotparser
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 from urllib.parse import urljoin, urlparse
 
 import pandas as pd
@@ -77,26 +77,37 @@ class BatchEntailment(Entailment):
 
 @dataclass
 class TextMaker:
-    """Texts from a function over batches of prompts, tried again, and given up for good after an error that will stay."""
+    """Texts from a function over batches of prompts, tried again, and given up for good after an error that will stay.
+
+    Once given up, a task asks the ``fallback``, a model at hand, or says nothing.
+    """
 
     model: Callable[[list[str]], list[str]] | None = None
     tries: int = 3
+    fallback: Callable[[list[str]], list[str]] | None = None
 
     def answers(self, prompt: Column) -> Column:
-        model, tries = self.model, self.tries
-        if model is None:
+        model, tries, fallback = self.model, self.tries, self.fallback
+        if model is None and fallback is None:
             return F.lit(None).cast("string")
 
         @F.pandas_udf("string")
-        def run(prompts: pd.Series) -> pd.Series:
-            for n in range(tries):
-                try:
-                    return pd.Series(model(prompts.fillna("").tolist()), dtype="object")
-                except PermissionError:
-                    break
-                except Exception:
-                    time.sleep(min(2**n, 8) if n + 1 < tries else 0)
-            return pd.Series([None] * len(prompts), dtype="object")
+        def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            dead = model is None
+            for prompts in batches:
+                said, asked = None, prompts.fillna("").tolist()
+                for n in range(0 if dead else tries):
+                    try:
+                        said = model(asked)
+                        break
+                    except PermissionError:
+                        dead = True
+                        break
+                    except Exception:
+                        time.sleep(min(2**n, 8) if n + 1 < tries else 0)
+                if said is None and fallback is not None:
+                    said = fallback(asked)
+                yield pd.Series([None] * len(prompts) if said is None else said, dtype="object")
 
         return run(prompt)
 
@@ -109,6 +120,7 @@ class Fetcher:
     tries: int = 3
     wait: float = 1.0
     timeout: float = 20.0
+    rules: dict[str, urllib.robotparser.RobotFileParser] = field(default_factory=dict)
 
     def get(self, url: str) -> str | None:
         for n in range(self.tries):
@@ -125,16 +137,25 @@ class Fetcher:
 
     def allowed(self, url: str) -> bool:
         parts = urlparse(url)
-        rules = urllib.robotparser.RobotFileParser()
-        text = self.get(f"{parts.scheme}://{parts.netloc}/robots.txt")
-        rules.parse((text or "").splitlines())
-        return rules.can_fetch(self.agent, url)
-
-    def crawl(self, seeds: list[str], links: Callable[[str, str], list[str]], budget: int, keep: Callable[[list[dict]], None], every: int = 20) -> int:
-        """Follows links from the seeds; what was read is handed on every few pages, so a break loses little."""
-        seen, queue, batch, n = set(seeds), list(seeds), [], 0
+        site = f"{parts.scheme}://{parts.netloc}"
+        if site not in self.rules:  # asked for once a site
+            self.rules[site] = urllib.robotparser.RobotFileParser()
+            self.rules[site].parse((self.get(f"{site}/robots.txt") or "").splitlines())
+        return self.rules[site].can_fetch(self.agent, url)
+
+    def crawl(self, seeds: list[str], links: Callable[[str, str], list[str]], budget: int, keep: Callable[[list[dict]], None], every: int = 20, done: set[str] | None = None, per_site: int | None = None) -> int:
+        """Follows links from the seeds; what was read is handed on every few pages, so a break loses little.
+
+        Pages ``done`` by an earlier run are not read again; ``per_site`` bounds the pages of one site.
+        """
+        seen, queue, batch, n = set(seeds) | set(done or ()), [s for s in seeds if s not in (done or ())], [], 0
+        sites: dict[str, int] = {}
         while queue and n < budget:
             url = queue.pop(0)
+            site = urlparse(url).netloc
+            if per_site is not None and sites.get(site, 0) >= per_site:
+                continue
+            sites[site] = sites.get(site, 0) + 1
             page = self.get(url) if self.allowed(url) else None
             if page is None:
                 continue
@@ -163,6 +184,33 @@ def lookup_batches(labels: list[str], ask: Callable[[list[str]], str | None], si
     return rows
 
 
+def label_query(labels: list[str], language: str, allowed: tuple[str, ...] = (), denied: tuple[str, ...] = ()) -> str:
+    """A query for records named or also named as listed, of allowed classes and of no denied one."""
+    names = " ".join(json.dumps(label, ensure_ascii=False) + f"@{language}" for label in labels)
+    lines = [f"VALUES ?name {{ {names} }}", "{ ?item rdfs:label ?name . BIND(true AS ?exact) } UNION { ?item skos:altLabel ?name . BIND(false AS ?exact) }", "?item wikibase:sitelinks ?links ."]
+    if allowed:
+        lines.append(f"VALUES ?class {{ {' '.join(f'wd:{c}' for c in allowed)} }} ?item wdt:P31/wdt:P279* ?class .")
+    lines += [f"FILTER NOT EXISTS {{ ?item wdt:P31 wd:{c} . }}" for c in denied]
+    return "SELECT ?name ?item ?exact ?links WHERE { " + " ".join(lines) + " }"
+
+
+def labels_of_ids(ids: list[str], ask: Callable[[list[str]], str | None], known: dict[str, dict], size: int = 180) -> dict[str, dict]:
+    """Label, description and aliases of outside records, by id; what was asked before, found or not, is not asked again.
+
+    An answer has one row a record, its aliases joined by bars.
+    """
+    out = dict(known)
+    wanted = sorted(set(ids) - set(known))
+    for at in range(0, len(wanted), size):
+        part = wanted[at : at + size]
+        answer = ask(part)
+        if answer is None:
+            continue  # not reached: asked again next time
+        rows = {b["id"]["value"].rsplit("/", 1)[-1]: {k: v.get("value", "") for k, v in b.items() if k != "id"} for b in json.loads(answer)["results"]["bindings"]}
+        out.update({i: rows.get(i, {}) for i in part})
+    return out
+
+
 def best_candidates(rows: DataFrame, key: str) -> DataFrame:
     """Each key's best candidate: an exact label before an alias, then the most linked, then the first."""
     return rows.groupBy(key).agg(F.min_by(F.struct(*[c for c in rows.columns if c != key]), F.struct(~F.col("exact"), -F.col("sitelinks"), F.col("ord"))).alias("x")).select(key, "x.*")
@@ -172,7 +220,7 @@ def postings_of(pages: DataFrame, html: str = "html") -> DataFrame:
     """(url, title, text) from pages: their JSON-LD posting, else heading and text if that is long enough."""
     from taxoloom.functions.text import html_text
 
-    posting = F.get(F.filter(json_ld(html), lambda v: F.try_variant_get(v, "$['@type']", "string") == "JobPosting"), F.lit(0))
+    posting = F.get(F.filter(json_ld(html), lambda v: F.array_contains(F.coalesce(F.try_variant_get(v, "$['@type']", "array<string>"), F.array(F.try_variant_get(v, "$['@type']", "string"))), "JobPosting")), F.lit(0))
     told = pages.withColumn("_p", posting).withColumn("_t", html_text(html))
     title = F.coalesce(F.try_variant_get("_p", "$.title", "string"), html_text(F.regexp_extract(html, "(?is)<h1[^>]*>(.*?)</h1>", 1)))
     body = F.coalesce(html_text(F.try_variant_get("_p", "$.description", "string")), F.lit(""))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import pathlib
 import shutil
 import tempfile
 import uuid
@@ -29,6 +30,21 @@ def session(name: str = "taxoloom", cores: str = "*", **conf: str) -> SparkSessi
     return builder.getOrCreate()
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once a session; on a local master they read it where it is."""
+    app = spark.sparkContext.applicationId
+    if spark.sparkContext.master.startswith("local") or app in _SHIPPED:
+        return
+    home = pathlib.Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix=f"{home.name}-")  # the driver's own: executors fetch the package from it
+    atexit.register(shutil.rmtree, folder, True)
+    spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/{home.name}", "zip", home.parent, home.name))
+    _SHIPPED.add(app)
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a data directory."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

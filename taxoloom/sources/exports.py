@@ -45,9 +45,12 @@ def write_graphml(nodes: DataFrame, edges: DataFrame, path: str) -> None:
 
 
 def write_page(placed: DataFrame, edges: DataFrame, path: str, most: int = 5000) -> None:
-    """A backbone of at most ``most`` nodes, placed at (x, y), as one page without outside parts."""
-    nodes = {r["id"]: (r["x"], r["y"]) for r in placed.limit(most).collect()}
-    pairs = [(r["s"], r["t"]) for r in edges.limit(4 * most).collect() if r["s"] in nodes and r["t"] in nodes]
+    """A backbone of at most ``most`` nodes, placed at (x, y), as one page without outside parts; a larger one is refused."""
+    rows, links = placed.limit(most + 1).collect(), edges.limit(4 * most + 1).collect()
+    if len(rows) > most or len(links) > 4 * most:
+        raise ValueError(f"a page shows at most {most} nodes and {4 * most} edges; choose a backbone")
+    nodes = {r["id"]: (r["x"], r["y"]) for r in rows}
+    pairs = [(r["s"], r["t"]) for r in links if r["s"] in nodes and r["t"] in nodes]
     span = max([1.0, *(math.hypot(*p) for p in nodes.values())]) * 1.1
     lines = "".join(f'<line x1="{nodes[s][0]}" y1="{nodes[s][1]}" x2="{nodes[t][0]}" y2="{nodes[t][1]}"/>' for s, t in pairs)
     dots = "".join(f'<circle cx="{x}" cy="{y}" r="{span / 150:.4f}"><title>{html.escape(str(n))}</title></circle>' for n, (x, y) in nodes.items())

@@ -112,6 +112,22 @@ def ingest(spark: SparkSession, source: StructuredSource, kb: dict[str, DataFram
     return out
 
 
+def ingest_mentions(spark: SparkSession, source: ExtractionSource, kb: dict[str, DataFrame], floor: int = 2) -> dict[str, DataFrame]:
+    """The relations replaced by what a source's texts mention together: roles and skills of one text, counted by text.
+
+    Mentions are resolved by the label indices of all other sources, so reading a source again gives the same.
+    """
+    found = source.mentions(spark)
+    index = lambda t: lookup.label_index(kb[t].where(~F.col("source").eqNullSafe(source.name) & ~F.col("source").eqNullSafe("TAXONOMY")), "entity_id", "entity_id", [F.array("pref_label_en"), F.array("pref_label_fr"), split_multi("alt_labels_en"), split_multi("alt_labels_fr")])
+    said = lambda kind, t, name: lookup.key_join(found.where(F.col("kind") == kind), "label", index(t)).select("doc_id", F.col("entity").alias(name)).distinct()
+    met = said("occupation", "occupations", "occupation_entity_id").join(said("skill", "skills", "skill_entity_id"), "doc_id")
+    counted = met.groupBy("occupation_entity_id", "skill_entity_id").agg(F.count("*").alias("n")).where(F.col("n") >= floor)
+    rel = counted.select("occupation_entity_id", "skill_entity_id", F.lit("demand").alias("relation_type"), F.lit(source.name).alias("source"), F.col("n").cast("string").alias("weight"))
+    old = kb["occupation_skill_relations"]
+    shaped = rel.select(*[(F.col(f) if f in rel.columns else F.lit(None)).cast(t).alias(f) for f, t in old.dtypes])
+    return kb | {"occupation_skill_relations": tables.replace_source(old, shaped, "source", source.name)}
+
+
 def labels_of(rows: DataFrame) -> DataFrame:
     """The long label table of occupations or skills."""
     fields = {("preferred", "en"): split_multi("pref_label_en"), ("preferred", "fr"): split_multi("pref_label_fr"), ("alt", "en"): split_multi("alt_labels_en"), ("alt", "fr"): split_multi("alt_labels_fr")}

@@ -26,7 +26,9 @@ def write_snapshot(old: DataFrame | None, new: DataFrame, keys: list[str], at: s
 
 
 def report(rows: DataFrame, title: str, most: int = 1000) -> str:
-    """A small result as a Markdown table."""
-    got = rows.limit(most).collect()
+    """A small result as a Markdown table; one of more than ``most`` rows is refused, not cut."""
+    got = rows.limit(most + 1).collect()
+    if len(got) > most:
+        raise ValueError(f"a report has at most {most} rows")
     head = "| " + " | ".join(rows.columns) + " |\n|" + "---|" * len(rows.columns)
     return f"# {title}\n\n{head}\n" + "\n".join("| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in got) + "\n"
