@@ -22,7 +22,7 @@ def test_readers(spark, tmp_path):
     got = readers.read_smart(spark, f"file://{tmp_path}/x.csv", ["a", "b", "c"])
     assert sorted(tuple(r) for r in got.collect()) == [("", "x", ""), ("1", "é", "")]
     (tmp_path / "y.csv").write_bytes("a,b\n1,é€\n".encode("cp1252"))
-    assert readers.sniff(str(tmp_path / "y.csv")) == ("windows-1252", ",")
+    assert readers.sniff((tmp_path / "y.csv").read_bytes()) == ("windows-1252", ",")
     assert readers.read_smart(spark, f"file://{tmp_path}/y.csv", ["b"]).first()[0] == "é€"
     os.makedirs(tmp_path / "s" / "t")
     (tmp_path / "s" / "t" / "p.csv").write_text("title,url\nDev,u1\n,u2\n")
