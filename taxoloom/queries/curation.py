@@ -200,6 +200,43 @@ def ontology_axioms(spark, d):
     return curation.axioms(jobs.unionByName(skills), needs.unionByName(facets).distinct())
 
 
+_TABLES = ("occupations", "skills", "hierarchy", "occupation_skill_relations", "unified_skills", "concept_alignments")
+
+
+def _kb(spark, d):
+    return {t: load(spark, d, t) for t in _TABLES}
+
+
+def whole_graph_nodes(spark, d):
+    return curation.concept_graph(_kb(spark, d))[0].groupBy("kind").agg(F.count("*").alias("nodes"), F.count_distinct("label").alias("labels"))
+
+
+def whole_graph_edges(spark, d):
+    """All edges of the concept graph but those that roles require, and these counted by kind."""
+    return curation.concept_graph(_kb(spark, d))[1].groupBy("type", "subtype", "prov").agg(F.count("*").alias("edges"), F.count_distinct("s").alias("starts"), F.count_distinct("t").alias("ends"))
+
+
+def single_category(spark, d):
+    """Unified skills and the one category each is under in the concept graph."""
+    nodes, edges = curation.concept_graph(_kb(spark, d))
+    return edges.where("type = 'broader'").join(nodes.where("kind = 'skill'").select(F.col("id").alias("s")), "s").select("s", "t")
+
+
+def without_blocked(spark, d):
+    """Relations left when skills with malformed labels are blocked."""
+    blocked = load(spark, d, "skills").where(text.is_noise("pref_label_en")).select("entity_id")
+    rows = load(spark, d, "occupation_skill_relations").select("rel_id", "skill_entity_id").distinct()
+    return curation.without(rows, blocked, ("skill_entity_id",)).select("rel_id")
+
+
+def ontology_triples(spark, d):
+    return curation.ontology(spark)
+
+
+def qa_report(spark, d):
+    return curation.qa_report(_kb(spark, d))
+
+
 def reconciliation(spark, d):
     skills, unified = load(spark, d, "skills"), load(spark, d, "unified_skills")
     return curation.reconciled({
@@ -219,7 +256,8 @@ QUERIES = {
     for f in (
         excluded_labels, spoken_postings, homonyms, short_labels, hinted_titles, profile_texts, attach_inputs, shared_sources, shared_labels, label_pair_tests, skos_relations, taxonomy_nodes, taxonomy_edges,
         placed_skills, transversal_overlay, subtype_overrides, triggered_roles, posting_endpoints, other_sources_index, either_spelling, anchor_targets, anchors, woven, corroborated_links, accepted_links,
-        description_targets, audit_rejects, first_aliases, stage_log, ontology_axioms, reconciliation, repeated_gold,
+        description_targets, audit_rejects, first_aliases, stage_log, ontology_axioms, reconciliation, repeated_gold, whole_graph_nodes, whole_graph_edges,
+        single_category, without_blocked, ontology_triples, qa_report,
     )
 }
 
@@ -300,3 +338,55 @@ SQL = {
       select name, a as left_rows, b as right_rows, a = b as ok from r""",
     "repeated_gold": f"select {S.norm('title')} as norm, count(*) as n from (select distinct title, url from hellowork where title is not null) where {S.norm('title')} <> '' group by 1",
 }
+
+_GRAPH = f"""mem as (select entity, min(unified_id) as u from (select unified_id, unnest({_LIST.format(c='member_entity_ids')}) as entity from unified_skills) group by 1),
+  nd as (select id, min(kind) as kind, min(label) as label, min(sub) as sub from (
+    select entity_id as id, coalesce(esco_skill_type, '') as kind, coalesce(pref_label_en, '') as label, coalesce(it_subtype, '') as sub from skills where source = 'TAXONOMY'
+    union all select entity_id, case when occupation_type = 'isco_group' then 'isco_group' else 'occupation' end, coalesce(pref_label_en, ''), '' from occupations
+    union all select unified_id, 'skill', coalesce(primary_label_en, ''), coalesce(it_subtype, '') from unified_skills) where id is not null group by 1),
+  raw as (select trim(child_entity_id) as s, trim(parent_entity_id) as t, case when lower(trim(relation_type)) = 'in_domain' then 'in_domain' else 'broader' end as type, '' as subtype, coalesce(source, '') as prov from hierarchy where lower(trim(relation_type)) in ('broader_than', 'in_domain')
+    union all select occupation_entity_id, skill_entity_id, 'requires', coalesce(relation_type, ''), coalesce(source, '') from occupation_skill_relations),
+  mapped as (select coalesce(m1.u, n1.id) as s, coalesce(m2.u, n2.id) as t, type, subtype, prov from raw left join mem m1 on raw.s = m1.entity left join nd n1 on raw.s = n1.id left join mem m2 on raw.t = m2.entity left join nd n2 on raw.t = n2.id),
+  home as (select sub, min(id) as t from nd where kind = 'skill_category' and sub <> '' group by 1),
+  edges as (select m.s, m.t, type, subtype, prov from mapped m join nd on m.s = nd.id where m.t is not null and (type <> 'broader' or nd.kind <> 'skill')
+    union select id, home.t, 'broader', '', 'TAXONOMY' from nd join home using (sub) where kind = 'skill')"""
+_COUNTED = {
+    "occupations": ("entity_id", ("source", "source_id", "isco_code", "source_code", "pref_label_en", "pref_label_fr", "alt_labels_en", "alt_labels_fr", "description_en", "description_fr", "occupation_type", "label_language_status")),
+    "skills": ("entity_id", ("source", "source_id", "pref_label_en", "pref_label_fr", "alt_labels_en", "alt_labels_fr", "description_en", "description_fr", "esco_skill_type", "esco_reuse_level", "hard_soft_provisional", "hard_soft_method", "it_subtype")),
+    "unified_skills": ("unified_id", ("primary_label_en", "primary_label_fr", "alt_labels_en", "alt_labels_fr", "hard_soft", "it_subtype", "sources", "member_entity_ids", "wikidata_qid", "wikidata_url", "wikidata_description", "description", "description_source")),
+    "hierarchy": (None, ("parent_entity_id", "child_entity_id", "entity_kind", "relation_type", "source")),
+    "occupation_skill_relations": ("rel_id", ("occupation_entity_id", "skill_entity_id", "relation_type", "source", "weight")),
+    "concept_alignments": (None, ("entity_id_a", "source_a", "entity_id_b", "source_b", "relation", "confidence", "method", "validated", "merge_flag", "notes")),
+}
+_TRIM = "regexp_replace(coalesce({c}, ''), '^[\\s\u00a0\u1680\u2000-\u200d\u202f\u205f\u2060\u3000\ufeff]+|[\\s\u00a0\u1680\u2000-\u200d\u202f\u205f\u2060\u3000\ufeff]+$', '', 'g')"
+
+
+def _counters() -> str:
+    parts = []
+    for table, (key, columns) in _COUNTED.items():
+        parts.append(f"select '{table}' as table_name, 'rows' as counter, count(*) as n from {table}")
+        if key:
+            parts.append(f"select '{table}', 'keys', count(distinct {key}) from {table}")
+        parts += [f"select '{table}', '{c}', count(*) filter ({_TRIM.format(c=c)} <> '') from {table}" for c in columns]
+    return " union all ".join(parts)
+
+
+_NAMES = ", ".join(
+    f"('<urn:taxoloom:{s}>', '{p}', '{o if ':' in o else f'<urn:taxoloom:{o}>'}')"
+    for s, p, o in (
+        *((c, "rdf:type", "owl:Class") for c in ("Occupation", "Skill", "HardSkill", "SoftSkill", "SkillType", "SkillDomain", "SkillCategory", "OccupationGroup")),
+        *((c, "rdfs:subClassOf", "skos:Concept") for c in ("Occupation", "Skill", "SkillType", "SkillDomain", "SkillCategory", "OccupationGroup")),
+        ("HardSkill", "rdfs:subClassOf", "Skill"), ("SoftSkill", "rdfs:subClassOf", "Skill"), ("Occupation", "owl:disjointWith", "Skill"), ("HardSkill", "owl:disjointWith", "SoftSkill"),
+        ("requiresSkill", "rdf:type", "owl:ObjectProperty"), ("requiresSkill", "rdfs:domain", "Occupation"), ("requiresSkill", "rdfs:range", "Skill"),
+        ("inDomain", "rdf:type", "owl:ObjectProperty"), ("inDomain", "rdfs:domain", "Occupation"), ("inDomain", "rdfs:range", "SkillDomain"),
+        *((c, "rdf:type", "owl:DatatypeProperty") for c in ("hardSoft", "itSubtype", "code", "weight")),
+    )
+)
+SQL |= {
+    "whole_graph_nodes": f"with {_GRAPH} select kind, count(*) as nodes, count(distinct label) as labels from nd group by 1",
+    "whole_graph_edges": f"with {_GRAPH} select type, subtype, prov, count(*) as edges, count(distinct s) as starts, count(distinct t) as ends from edges group by 1, 2, 3",
+    "single_category": f"with {_GRAPH} select s, t from edges join nd on s = id where type = 'broader' and kind = 'skill'",
+    "without_blocked": "select distinct rel_id from occupation_skill_relations where coalesce(skill_entity_id, '~') not in (select entity_id from skills where entity_id is not null and (not regexp_matches(trim(coalesce(pref_label_en, '')), '[A-Za-z]') or regexp_matches(trim(coalesce(pref_label_en, '')), '^[(\\[{]') or contains(trim(coalesce(pref_label_en, '')), ' ,')))",
+    "ontology_triples": f"select * from (values {_NAMES}) as t(s, p, o)",
+    "qa_report": _counters(),
+}
