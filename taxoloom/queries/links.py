@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from taxoloom.functions import text
 from taxoloom.operators import demand, lookup, votes
 from taxoloom.queries import sqltext as S
-from taxoloom.queries.texts import STOP_WORDS
+from taxoloom.queries.texts import STOP_WORDS, clean_title_sql
 from taxoloom.session import load
 
 # Patterns that tell a role before its title is looked up.
@@ -259,3 +259,18 @@ SQL = {
     "sources_of_codes": "select isco_code, string_agg(source, ' | ' order by source) as sources from (select distinct isco_code, source from occupations where isco_code is not null and source is not null) group by 1",
     "component_ids": "select it_subtype, 'USKL_' || substr(sha1(string_agg(entity_id, '|' order by entity_id)), 1, 12) as unified_id from (select distinct it_subtype, entity_id from skills where it_subtype is not null) group by 1",
 }
+_BASE = S.match_key("pref_label_en")
+_ROLE_CASE = " ".join(f"when regexp_matches(coalesce(title, ''), {S.q('(?i)' + p)}) then '{n}'" for n, p in ROLE_PATTERNS)
+SQL |= {
+    "variant_lookup": f"""with r as (select entity_id, pref_label_en, {_BASE} as base from skills where coalesce(source, '') not in ('TAXONOMY', 'DATAJOBS')),
+      k as (select entity_id, base as key from r union select entity_id, regexp_replace(base, '^((monitor|audit)\\s+)+', '') from r union select entity_id, regexp_replace(base, '(\\s+(automation|auditing))+$', '') from r
+        union select entity_id, {S.match_key('x')} from (select entity_id, unnest(regexp_extract_all(coalesce(pref_label_en, ''), '\\(([^)]*)\\)', 1)) as x from r))
+      select key, min(entity_id) as entity from k where key <> '' group by 1""",
+    "regex_priority_role": f"""with t as (select distinct url, title, {clean_title_sql('title')} as clean from hellowork), l as (select {S.match_key('title_fr')} as key, 'title_' || title_id as listed from role_titles),
+      j as (select url, case {_ROLE_CASE} else listed end as role from (select *, {S.match_key('clean')} as key from t) left join l using (key)) select distinct url, role from j where role is not null""",
+    "merged_alts": f"""with r as (select distinct unified_id, {_SPLIT.format(c='alt_labels_en')} as ls from unified_skills), n as (select row_number() over () as id, unified_id, ls from r),
+      x as (select id, unified_id, unnest(ls) as v, generate_subscripts(ls, 1) as i from n), f as (select id, unified_id, v, min(i) as i from x group by 1, 2, 3),
+      p as (select unified_id, v, row_number() over (partition by id order by i) as p from f), u as (select unified_id, v, min(p) as p from p group by 1, 2),
+      m as (select unified_id, min(primary_label_en) as primary_label from unified_skills group by 1)
+      select unified_id, string_agg(v, ' | ' order by p, v) as labels from u join m using (unified_id) where primary_label is null or v <> primary_label group by 1""",
+}

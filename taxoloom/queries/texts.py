@@ -166,7 +166,7 @@ SQL = {
       from (select w, {_CORE} as core, count(*) as n from (select unnest(string_split(coalesce(text, ''), ' ')) as w from documents) where w <> '' group by 1, 2 having count(*) >= 5)""",
     "mt_sanity": f"""select distinct entity_id, case when trim(o) = '' then 'empty' when regexp_matches(o, 'Zt\\d+z') then 'lost_protected_token'
         when length(o) / greatest(length(s), 1) < 0.30 or length(o) / greatest(length(s), 1) > 3.50 then 'len_ratio'
-        when {' or '.join(f"starts_with(ltrim(lower(o)), {S.q(w)})" for w in text.SENTENCE_STARTS)} or (len(regexp_split_to_array(trim(s), '\\s+')) <= 3 and ends_with(rtrim(o), '.') and length(o) > 2 * length(s) and not contains(s, '.')) then 'sentence_not_label'
+        when {' or '.join(f"starts_with(ltrim(lower(o)), {S.q(w)})" for w in text.SENTENCE_STARTS)} or (len(regexp_split_to_array(regexp_replace(s, '^ +| +$', '', 'g'), '\\s+')) <= 3 and ends_with(rtrim(o), '.') and length(o) > 2 * length(s) and not contains(s, '.')) then 'sentence_not_label'
         when {S.norm('o')} = {S.norm('s')} then 'verbatim' else '' end as verdict
       from (select entity_id, coalesce(pref_label_fr, '') as s, coalesce(pref_label_en, '') as o from skills)""",
     "first_sentences": f"""select doc_id, case when length(t) <= 200 then t when dot > 40 then trim(substr(t, 1, dot)) else trim(substr(t, 1, 200)) end as opening
@@ -183,3 +183,19 @@ SQL = {
       from (select entity_id, trim(coalesce(isco_code, '')) as c, coalesce({S.blank_null('pref_label_en')}, {S.blank_null('pref_label_fr')}, {S.blank_null('alt_labels_en')}, '') as lab from occupations)""",
     "domain_histogram": f"select coalesce({_CATS}[category], 'dom_cross') as domain, count(*) as n from (select {_CATEGORY} as category from skills) group by 1",
 }
+
+_EDGE = f"^[{text.EDGE_SIGNS}]+|[{text.EDGE_SIGNS}]+$"
+
+
+def clean_title_sql(c: str) -> str:
+    """The bare role of a title, in SQL."""
+    bare_title = f"regexp_replace(regexp_replace(coalesce({c}, ''), '\\([^)]*\\)', ' ', 'g'), {S.q(text.GENDER_MARK)}, ' ', 'g')"
+    word = f"regexp_replace(w, {S.q(_EDGE)}, '', 'g')"
+    stop = ", ".join(S.q(w) for w in STOP_WORDS)
+    words = f"list_filter(list_transform(regexp_split_to_array(regexp_replace(s, '^ +| +$', '', 'g'), '\\s+'), lambda w: {word}), lambda v: v <> '' and {S.norm('v')} not in ({stop}))"
+    return f"coalesce(array_to_string(list_filter(list_transform(regexp_split_to_array({bare_title}, {S.q(text.TITLE_PARTS)}), lambda s: {words}), lambda ws: len(ws) > 0)[1], ' '), '')"
+
+
+SQL |= {
+    "clean_titles": f"select distinct url, {clean_title_sql('title')} as role from hellowork",
+}
