@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN_DIRS: dict[str, str] = {}
+_WRITTEN: dict[str, list[str]] = {}
 
 
 def session(name: str = "taxoloom", cores: str = "*", **conf: str) -> SparkSession:
@@ -68,7 +69,8 @@ class Scratch:
     """Written tables that cut the lineage of iterative plans.
 
     ``cut`` writes a frame to the shared folder and reads it back, so a lost executor never loses state and the
-    plan of the next round starts from a scan with known size. ``drop`` deletes a superseded table.
+    plan of the next round starts from a scan with known size. ``drop`` deletes a superseded table, ``sweep`` all that a
+    session wrote, once its results have been read.
     """
 
     def __init__(self, spark: SparkSession, label: str):
@@ -76,6 +78,7 @@ class Scratch:
         self.base = f"{shared_dir(spark)}/taxoloom/{label}-{uuid.uuid4().hex}"
         self.paths: dict[int, str] = {}
         self.n = 0
+        _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(self.base)
 
     def cut(self, df: DataFrame) -> DataFrame:
         path = f"{self.base}/{self.n}"
@@ -88,9 +91,20 @@ class Scratch:
     def drop(self, df: DataFrame | None) -> None:
         path = self.paths.pop(id(df), None)
         if path:
-            jvm = self.spark.sparkContext._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+            _delete(self.spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def sweep(spark: SparkSession) -> int:
+    """Deletes every table the session wrote to cut lineage and says how many folders that were; frames that read them end."""
+    bases = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    for base in bases:
+        _delete(spark, base)
+    return len(bases)
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from tests.conftest import DATA
 from pyspark.sql import functions as F
 
 from taxoloom.plans import pipeline, providers
-from taxoloom.session import Scratch, load
+from taxoloom.session import Scratch, load, sweep
 from taxoloom.sources import exports, loaders, readers, registry, sinks
 from taxoloom.streaming import postings
 
@@ -157,3 +157,6 @@ def test_scratch(spark):
     assert df.count() == 5
     s.drop(df)
     assert not readers.exists(spark, f"{s.base}/0")
+    s.cut(spark.range(2))
+    assert readers.exists(spark, s.base)
+    assert sweep(spark) > 0 and not readers.exists(spark, s.base)
