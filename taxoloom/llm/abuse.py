@@ -40,14 +40,40 @@ BIAS = -2.0
 #: Clean passages that score above this are hard to tell.
 HARD = -4.0
 _LEET = str.maketrans("013457@$!|", "oieastasil")
-_MIXED = re.compile(r"(?=[^\s]*[^\W\d_])[\w@$!|*]*[\d@$!|][\w@$!|*]*[^\W_!|]")
+_ODD = re.compile(r"[\d@$!|]")
+_RUN = re.compile(r"[\w@$!|*]+")
+_CHUNK = re.compile(r"\S+")
+_LETTER = re.compile(r"[^\W\d_]")
+
+
+def unleet(text: str) -> str:
+    """Letter substitutes inside words turned to letters: of a run with a letter about it, up to its last letter or digit.
+
+    Only the runs around the signs in question are looked at.
+    """
+    out, last, done = [], 0, 0
+    for m in _ODD.finditer(text):
+        start = m.start()
+        if start < done:
+            continue
+        while start and (text[start - 1].isalnum() or text[start - 1] in "_@$!|*"):
+            start -= 1
+        run = _RUN.match(text, start).group()
+        done = start + len(run)
+        k = len(run)
+        while k and not run[k - 1].isalnum():
+            k -= 1
+        if k and _ODD.search(run, 0, k - 1) and _LETTER.search(_CHUNK.match(text, start).group()):
+            out += [text[last:start], run[:k].translate(_LEET)]
+            last = start + k
+    return "".join(out) + text[last:] if out else text
 
 
 def plain(text: str) -> str:
     """A text with spelling tricks undone, in lower case."""
     text = _BLANKS.sub(" ", canonical(text).lower())
     text = _SPACED.sub(lambda m: m.group().replace(" ", ""), text)
-    text = _MIXED.sub(lambda m: m.group().translate(_LEET), text)
+    text = unleet(text)
     return _DIGITS.sub("0", _DRAWN.sub(r"\1", text))
 
 
