@@ -32,7 +32,7 @@ _CUT = re.compile(r"(?<=[.!?])[\"'»”’)\]]*\s+|\n+|<[^<>]*>")
 _SPACED = re.compile(r"(?<!\w)(?:\w ){2,}\w(?!\w)")
 _DRAWN = re.compile(r"(.)\1{2,}")
 _DIGITS = re.compile(r"\d+")
-_BLANKS = re.compile(r"[^\S\n]+")
+_BLANKS = re.compile(r"[^\S\n]{2,}|[^\S\n ]")  # all runs of blanks but single spaces
 #: Shorter passages are measured as if they had this many n-grams, so that a fragment needs as much evidence as a sentence.
 SHORT = 30
 #: Not fitted: a passage without evidence is clean, however rare clean passages are among the labelled.
@@ -84,8 +84,8 @@ def passages(text: str | None) -> list[str]:
     return [p.strip() for p in _CUT.split(plain(text).replace("&nbsp;", " ")) if p.strip()]
 
 
-def ngram_codes(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(hashed n-grams of all parts, where each part begins)."""
+def ngram_pairs(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashed n-grams of all parts, the part each is of)."""
     joined = "".join(f" {p} " for p in parts)
     ends = np.cumsum([len(p) + 2 for p in parts])
     chars = np.frombuffer(joined.encode("utf-32-le"), np.uint32).astype(np.uint64)
@@ -99,9 +99,14 @@ def ngram_codes(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
             h = (h ^ chars[j : len(chars) - n + 1 + j]) * np.uint64(0x100000001B3)
             h ^= h >> np.uint64(31)
         same = owner[: len(h)] == owner[n - 1 :]
-        codes.append((h[same] % np.uint64(1 << BITS)).astype(np.int32))
+        codes.append((h[same] & np.uint64((1 << BITS) - 1)).astype(np.int32))
         whose.append(owner[: len(h)][same])
-    code, own = np.concatenate(codes), np.concatenate(whose)
+    return (np.concatenate(codes), np.concatenate(whose)) if codes else (np.empty(0, np.int32), np.empty(0, np.int64))
+
+
+def ngram_codes(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashed n-grams of all parts, where each part begins)."""
+    code, own = ngram_pairs(parts)
     order = np.argsort(own, kind="stable")
     return code[order], np.searchsorted(own[order], np.arange(len(parts)))
 
@@ -205,12 +210,9 @@ def scores(texts: list[str | None], w: np.ndarray, b: float, block: int = 500_00
     size = 0
 
     def measure() -> None:
-        codes, starts = ngram_codes(parts)
-        sizes = np.diff(np.concatenate([starts, [len(codes)]]))
-        some = sizes > 0
-        found = np.zeros(len(parts))
-        if some.any():
-            found[some] = np.add.reduceat(w[codes], starts[some]) / np.sqrt(np.maximum(sizes[some], SHORT))
+        codes, own = ngram_pairs(parts)
+        sizes = np.bincount(own, minlength=len(parts))
+        found = np.bincount(own, weights=w[codes], minlength=len(parts)) / np.sqrt(np.maximum(sizes, SHORT))
         np.maximum.at(out, owner, 1 / (1 + np.exp(-np.clip(found + b, -30, 30))))
 
     for i, t in enumerate(texts):
