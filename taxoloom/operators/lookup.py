@@ -1,19 +1,27 @@
 """Look-ups by label and code: dictionary joins, ordered probes, n-gram matches, referential pruning.
 
 A dictionary is one row per key.  Its joins carry no hint: where a dictionary is small the planner broadcasts it, where
-it isn't both sides are shuffled on the key.
+it isn't both sides are shuffled on the key.  Texts are read against a dictionary of phrases where they are, so their
+runs of words are never shuffled, unless the dictionary is too large for every worker to hold.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+import uuid
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from taxoloom.session import spread
-from taxoloom.functions.text import let, match_key, ngrams_to, tech_tokens
+from taxoloom.session import Scratch, spread
+from taxoloom.functions.text import TECH_TOKEN, let, match_key, ngrams_to, tech_tokens
+
+# Up to so many phrases and bytes of keys and entities, a dictionary is sent to every worker.
+MAX_PHRASES, MAX_BYTES = 1_000_000, 32_000_000
 
 
 def first_by(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -72,9 +80,89 @@ def pattern_or_key(title: Column, patterns: tuple[tuple[str, str], ...], fallbac
 
 
 def dictionary_hits(docs: DataFrame, doc_id: str, text: str, phrases: DataFrame, most: int = 4) -> DataFrame:
-    """(doc_id, entity): every dictionary phrase of up to ``most`` words in each text, once a text."""
-    grams = spread(docs.select(doc_id, text)).select(doc_id, F.explode(F.array_distinct(ngrams_to(tech_tokens(text), most))).alias("key"))
-    return grams.join(phrases, "key").select(doc_id, "entity").distinct()
+    """(doc_id, entity): every dictionary phrase of up to ``most`` words in each text, once an id."""
+    held, kept = _held(phrases)
+    if held is None:
+        grams = spread(docs.select(doc_id, text)).select(doc_id, F.explode(F.array_distinct(ngrams_to(tech_tokens(text), most))).alias("key"))
+        return grams.join(kept, "key").select(doc_id, "entity").distinct()
+
+    def every(words: list[str], tree: dict[str, tuple[int, ...]]) -> set[int]:
+        return {e for _, _, entities in _places(words, tree, most) for e in entities}
+
+    kinds = f"`{doc_id}` {dict(docs.dtypes)[doc_id]}, entity {dict(phrases.dtypes)['entity']}"
+    return _once(_read(docs, doc_id, text, held, kinds, most, every), docs, doc_id)
+
+
+def _held(phrases: DataFrame) -> tuple[pa.Table | None, DataFrame | None]:
+    """The rows of a dictionary that every worker can hold, else the dictionary as a table."""
+    scratch = Scratch(phrases.sparkSession, "phrases")
+    kept = scratch.cut(phrases.select("key", "entity").where("key is not null"))
+    size = F.octet_length("key") + F.coalesce(F.octet_length(F.col("entity").cast("string")), F.lit(0))
+    n, size = kept.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    if n > MAX_PHRASES or size > MAX_BYTES:
+        return None, kept
+    held = kept.toArrow()
+    scratch.drop(kept)
+    return held, None
+
+
+def _once(found: DataFrame, docs: DataFrame, doc_id: str) -> DataFrame:
+    """Each row once. A text gives an entity once, so rows are compared only if an id has several texts."""
+    return found if docs.groupBy(doc_id).agg(F.count("*").alias("n")).where("n > 1").isEmpty() else found.distinct()
+
+
+_TREES: dict[str, tuple[dict[str, tuple[int, ...]], pa.Array]] = {}
+
+
+def _tree(name: str, held: pa.Table, most: int, deny: tuple[str, ...]) -> tuple[dict[str, tuple[int, ...]], pa.Array]:
+    """The entities of each phrase, as places in the sorted array of all, none for what only begins one. A worker keeps it from task to task."""
+    if name not in _TREES:
+        _TREES.clear()
+        every = pc.unique(held["entity"])
+        every = every.take(pc.array_sort_indices(every, null_placement="at_start"))
+        tree: dict[str, tuple[int, ...]] = {}
+        for key, at in zip(held["key"].to_pylist(), pc.index_in(held["entity"], every).to_pylist()):
+            words = key.split(" ")
+            if len(words) <= most and not (len(words) == 1 and key in deny):
+                for n in range(1, len(words)):
+                    tree.setdefault(" ".join(words[:n]), ())
+                tree[key] = tuple(sorted({*tree.get(key, ()), at}))
+        _TREES[name] = tree, every
+    return _TREES[name]
+
+
+def _places(words: list[str], tree: dict[str, tuple[int, ...]], most: int) -> Iterator[tuple[int, int, tuple[int, ...]]]:
+    """(place, number of words, entities) of every phrase in a text."""
+    get, end = tree.get, len(words)
+    for i, key in enumerate(words):
+        n = 1
+        while (entities := get(key)) is not None:
+            if entities:
+                yield i, n, entities
+            if n == most or i + n == end:
+                break
+            key = f"{key} {words[i + n]}"
+            n += 1
+
+
+def _read(docs: DataFrame, doc_id: str, text: str, held: pa.Table, kinds: str, most: int, pick: Callable, deny: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, entity): what ``pick`` finds in the words of each text."""
+    name, sent, batch_rows = uuid.uuid4().hex, docs.sparkSession.sparkContext.broadcast(held), 500_000
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree, every = _tree(name, sent.value, most, deny)
+        words = re.compile(TECH_TOKEN).findall
+        for batch in batches:
+            at, entities = [], []
+            for row, t in enumerate(batch.column(1)):
+                got = pick(words(t.as_py()), tree)
+                at += [row] * len(got)
+                entities += got
+                if entities and (len(entities) > batch_rows or row == batch.num_rows - 1):
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int32())), every.take(pa.array(entities, pa.int32()))], [doc_id, "entity"])
+                    at, entities = [], []
+
+    return spread(docs.select(doc_id, text)).select(doc_id, F.lower(F.coalesce(text, F.lit(""))).alias("_text")).mapInArrow(found, kinds)
 
 
 def longest_hits(docs: DataFrame, doc_id: str, text: str, phrases: DataFrame, most: int = 3, deny: tuple[str, ...] = ()) -> DataFrame:

@@ -183,6 +183,27 @@ def test_lookups(spark):
     assert rows(stars, "a", "b") == [("a", "b"), ("a", "c")]
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_runs_of_words_stay_where_the_texts_are(spark, monkeypatch):
+    phrases = frame(spark, [("big data", "bd"), ("data", "d"), ("data", "d2"), ("a b c d", "d"), ("a b c d e", "x"), ("", "y"), (None, "z"), ("c++", None)], "key string, entity string")
+    docs = frame(spark, [(1, "Big DATA, big data; data"), (2, "a b c d e"), (3, None), (4, "a b c"), (5, "C++")], "i long, t string")
+    want = [(1, "bd"), (1, "d"), (1, "d2"), (2, "d"), (5, None)]
+    hits = lookup.dictionary_hits(docs, "i", "t", phrases)
+    assert rows(hits, "i", "entity") == want
+    assert "Join" not in plan(hits) and "hashpartitioning" not in plan(hits)
+    twice = docs.union(docs).union(frame(spark, [(1, "c++ data"), (None, "data"), (None, "data")], "i long, t string"))
+    both = lambda: sorted((str(i), str(e)) for i, e in lookup.dictionary_hits(twice, "i", "t", phrases).collect())
+    assert both() == sorted((str(i), str(e)) for i, e in [*want, (1, None), (None, "d"), (None, "d2")])
+    few = both()
+    monkeypatch.setattr(lookup, "MAX_PHRASES", 7)  # seven have a key
+    assert both() == few and "Join" not in plan(lookup.dictionary_hits(docs, "i", "t", phrases))
+    monkeypatch.setattr(lookup, "MAX_PHRASES", 6)
+    assert both() == few and "Join" in plan(lookup.dictionary_hits(docs, "i", "t", phrases))
+
+
 def test_demand(spark):
     index = frame(spark, [("t1", "s"), ("t2", "s")], "key string, entity string")
     data = frame(spark, [(1, "r", "t1"), (1, "r", "t1"), (1, "r", "t2"), (2, "r", "t1")], "p int, role string, tok string")
