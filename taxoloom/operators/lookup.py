@@ -11,7 +11,6 @@ import re
 import uuid
 from collections.abc import Callable, Iterator
 
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -166,38 +165,56 @@ def _read(docs: DataFrame, doc_id: str, text: str, held: pa.Table, kinds: str, m
 
 
 def longest_hits(docs: DataFrame, doc_id: str, text: str, phrases: DataFrame, most: int = 3, deny: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, entity): longest phrases first, left to right, no word used twice.
+    """(doc_id, entity): longest phrases first, left to right, no word of a text used twice; once an id.
 
-    The dictionary join finds candidate places; which of them stand depends on those before, which is decided per
-    document in Arrow batches over that document's candidates only.
+    Which places of phrases stand depends on those before, so it is decided text by text. Where the dictionary is too
+    large for every worker, a join finds the places and only these are read in Arrow batches.
     """
+    kinds = f"`{doc_id}` {dict(docs.dtypes)[doc_id]}, entity {dict(phrases.dtypes)['entity']}"
+    held, kept = _held(phrases)
+    if held is None:
+        return _covered(docs, doc_id, text, kept, kinds, most, deny)
+
+    def longest(words: list[str], tree: dict[str, tuple[int, ...]]) -> set[int]:
+        found, used = set(), bytearray(len(words))
+        for i, n, entities in sorted(_places(words, tree, most), key=lambda p: -p[1]):  # stable: left to right
+            if used.find(1, i, i + n) < 0:
+                used[i : i + n] = b"\1" * n
+                found.add(entities[0])
+        return found
+
+    return _once(_read(docs, doc_id, text, held, kinds, most, longest, deny), docs, doc_id)
+
+
+def _covered(docs: DataFrame, doc_id: str, text: str, phrases: DataFrame, kinds: str, most: int, deny: tuple[str, ...]) -> DataFrame:
+    """``longest_hits`` by a join of all runs of words with the dictionary."""
     def runs(ts: Column, n: int) -> Column:
         heads = F.slice(ts, F.lit(1), F.greatest(F.size(ts) - (n - 1), F.lit(0)))
         return F.transform(heads, lambda w, i: F.struct((i + 1).alias("at"), F.lit(n).alias("n"), F.concat_ws(" ", w, *[F.get(ts, i + k) for k in range(1, n)]).alias("key")))
 
     every = let(tech_tokens(text), lambda ts: F.concat(*[runs(ts, n) for n in range(most, 0, -1)]))
-    places = spread(docs.select(doc_id, text)).select(doc_id, F.explode(every).alias("x")).select(doc_id, "x.*")
+    places = spread(docs.select(doc_id, text)).select(doc_id, F.xxhash64(text).alias("_text"), F.explode(every).alias("x")).select(doc_id, "_text", "x.*")
     cand = places.join(phrases, "key")
     if deny:
         cand = cand.where((F.col("n") > 1) | ~F.col("key").isin(*deny))
-    per_doc = cand.groupBy(doc_id).agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("order"), "at", "n", "entity"))).alias("c"))
+    per_text = cand.groupBy(doc_id, "_text").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("order"), "at", "n", "entity"))).alias("c"))
 
-    def cover(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            ids, found = [], []
-            for d, cs in zip(frame[doc_id], frame["c"]):
+    def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, found = [], []
+            for row, cs in enumerate(batch.column(1)):
                 used, got = set(), {}
-                for c in cs:
+                for c in cs.as_py():
                     span = range(c["at"], c["at"] + c["n"])
                     if used.isdisjoint(span):
                         used.update(span)
                         got[c["entity"]] = None
-                ids += [d] * len(got)
-                found += list(got)
-            yield pd.DataFrame({doc_id: ids, "entity": found})
+                at += [row] * len(got)
+                found += got
+            kind = batch.schema.field(1).type.value_type.field("entity").type
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int32())), pa.array(found, kind)], [doc_id, "entity"])
 
-    kinds = dict(docs.dtypes)[doc_id], dict(phrases.dtypes)["entity"]
-    return per_doc.mapInPandas(cover, f"`{doc_id}` {kinds[0]}, entity {kinds[1]}")
+    return per_text.drop("_text").mapInArrow(cover, kinds).distinct()
 
 
 def star_edges(rows: DataFrame, entity: str, keys: list[str], order: str) -> DataFrame:

@@ -204,6 +204,24 @@ def test_runs_of_words_stay_where_the_texts_are(spark, monkeypatch):
     assert both() == few and "Join" in plan(lookup.dictionary_hits(docs, "i", "t", phrases))
 
 
+def test_longest_phrases_are_found_where_the_texts_are(spark, monkeypatch):
+    phrases = frame(spark, [("b c", "bc"), ("a b", "ab2"), ("a b", "ab1"), ("c d e", "cde"), ("a", "a"), ("b", "b"), ("c", "c"), ("d e f g", "x")], "key string, entity string")
+    docs = frame(spark, [(1, "A b c d e a"), (2, "a b, a b c b"), (3, None), (4, "d e f g"), (5, "c B")], "i long, t string")
+    want = [(1, "a"), (1, "ab1"), (1, "cde"), (2, "ab1"), (2, "b"), (2, "c"), (5, "b"), (5, "c")]
+    hits = lookup.longest_hits(docs, "i", "t", phrases)
+    assert rows(hits, "i", "entity") == want
+    assert "Join" not in plan(hits) and "hashpartitioning" not in plan(hits)
+    assert rows(lookup.longest_hits(docs.where("i < 0"), "i", "t", phrases), "i", "entity") == []
+    short = [(1, "ab1"), (1, "cde"), (2, "ab1"), (2, "c"), (5, "c")]
+    assert rows(lookup.longest_hits(docs, "i", "t", phrases, deny=("a", "b", "a b")), "i", "entity") == short
+    twice = docs.union(docs).union(frame(spark, [(5, "a b")], "i long, t string"))  # places of another text don't block
+    both = lambda: rows(lookup.longest_hits(twice, "i", "t", phrases), "i", "entity")
+    assert both() == sorted([*want, (5, "ab1")])
+    monkeypatch.setattr(lookup, "MAX_PHRASES", 0)
+    assert both() == sorted([*want, (5, "ab1")]) and "Join" in plan(lookup.longest_hits(docs, "i", "t", phrases))
+    assert rows(lookup.longest_hits(docs, "i", "t", phrases, deny=("a", "b", "a b")), "i", "entity") == short
+
+
 def test_demand(spark):
     index = frame(spark, [("t1", "s"), ("t2", "s")], "key string, entity string")
     data = frame(spark, [(1, "r", "t1"), (1, "r", "t1"), (1, "r", "t2"), (2, "r", "t1")], "p int, role string, tok string")
