@@ -83,7 +83,7 @@ def dictionary_hits(docs: DataFrame, doc_id: str, text: str, phrases: DataFrame,
     held, kept = _held(phrases)
     if held is None:
         grams = spread(docs.select(doc_id, text)).select(doc_id, F.explode(F.array_distinct(ngrams_to(tech_tokens(text), most))).alias("key"))
-        return grams.join(kept, "key").select(doc_id, "entity").distinct()
+        return grams.hint("merge").join(kept, "key").select(doc_id, "entity").distinct()  # else the planner may take the runs for small and broadcast them
 
     def every(words: list[str], tree: dict[str, tuple[int, ...]]) -> set[int]:
         return {e for _, _, entities in _places(words, tree, most) for e in entities}
@@ -194,7 +194,7 @@ def _covered(docs: DataFrame, doc_id: str, text: str, phrases: DataFrame, kinds:
 
     every = let(tech_tokens(text), lambda ts: F.concat(*[runs(ts, n) for n in range(most, 0, -1)]))
     places = spread(docs.select(doc_id, text)).select(doc_id, F.xxhash64(text).alias("_text"), F.explode(every).alias("x")).select(doc_id, "_text", "x.*")
-    cand = places.join(phrases, "key")
+    cand = places.hint("merge").join(phrases, "key")
     if deny:
         cand = cand.where((F.col("n") > 1) | ~F.col("key").isin(*deny))
     per_text = cand.groupBy(doc_id, "_text").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("order"), "at", "n", "entity"))).alias("c"))

@@ -201,7 +201,7 @@ def test_runs_of_words_stay_where_the_texts_are(spark, monkeypatch):
     monkeypatch.setattr(lookup, "MAX_PHRASES", 7)  # seven have a key
     assert both() == few and "Join" not in plan(lookup.dictionary_hits(docs, "i", "t", phrases))
     monkeypatch.setattr(lookup, "MAX_PHRASES", 6)
-    assert both() == few and "Join" in plan(lookup.dictionary_hits(docs, "i", "t", phrases))
+    assert both() == few and "SortMergeJoin" in plan(lookup.dictionary_hits(docs, "i", "t", phrases))
 
 
 def test_longest_phrases_are_found_where_the_texts_are(spark, monkeypatch):
@@ -218,7 +218,7 @@ def test_longest_phrases_are_found_where_the_texts_are(spark, monkeypatch):
     both = lambda: rows(lookup.longest_hits(twice, "i", "t", phrases), "i", "entity")
     assert both() == sorted([*want, (5, "ab1")])
     monkeypatch.setattr(lookup, "MAX_PHRASES", 0)
-    assert both() == sorted([*want, (5, "ab1")]) and "Join" in plan(lookup.longest_hits(docs, "i", "t", phrases))
+    assert both() == sorted([*want, (5, "ab1")]) and "SortMergeJoin" in plan(lookup.longest_hits(docs, "i", "t", phrases))
     assert rows(lookup.longest_hits(docs, "i", "t", phrases, deny=("a", "b", "a b")), "i", "entity") == short
 
 
